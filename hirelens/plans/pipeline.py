@@ -1,0 +1,159 @@
+"""The whole warehouse as one re-runnable job."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..quality import FEATURE_CHECKS, MART_CHECKS, MART_EXPECTATIONS, OWN_CHECKS, STAGING_CHECKS, gate, run_suite
+from ..schemas import CONTRACT
+from ..sources import Tables, land_raw
+from . import dims, facts, features, intermediate
+from .staging import stage_all
+
+FEATURE_MART = "mart_ml_features"
+
+
+@dataclass
+class Warehouse:
+    """Lazy frames of every layer over the seven raw tables."""
+
+    spark: SparkSession
+    raw: dict[str, DataFrame]
+    stored: dict[str, DataFrame] = field(default_factory=dict)
+
+    def __post_init__(self) -> None:
+        self.stg = stage_all(self.raw)
+
+    def table(self, name: str) -> DataFrame:
+        """A stored table where there is one, else its plan."""
+        if name not in self.stored:
+            return getattr(self, f"_{name}")()
+        return self.stored[name]
+
+    def _int_application_funnel(self) -> DataFrame:
+        return intermediate.application_funnel(self.stg["applications"], self.stg["stage_history"])
+
+    def _int_hire_pace(self) -> DataFrame:
+        s = self.stg
+        return intermediate.hire_pace(s["hires"], s["offers"], s["applications"], s["requisitions"])
+
+    def _int_offer_outcomes(self) -> DataFrame:
+        return intermediate.offer_outcomes(self.stg["offers"])
+
+    def _int_req_first_fill(self) -> DataFrame:
+        s = self.stg
+        return intermediate.req_first_fill(s["hires"], s["offers"], s["applications"])
+
+    def _dim_applicant(self) -> DataFrame:
+        return dims.dim_applicant(self.stg["applicants"])
+
+    def _dim_requisition(self) -> DataFrame:
+        return dims.dim_requisition(self.stg["requisitions"])
+
+    def _dim_recruiter(self) -> DataFrame:
+        return dims.dim_recruiter(self.stg["requisitions"])
+
+    def _dim_date(self) -> DataFrame:
+        return dims.dim_date(self.spark)
+
+    def _fact_applications(self) -> DataFrame:
+        return facts.fact_applications(
+            self.table("int_application_funnel"),
+            self.stg["requisitions"],
+            self.stg["interviews"],
+            self.table("int_hire_pace"),
+        )
+
+    def _fact_offers(self) -> DataFrame:
+        return facts.fact_offers(
+            self.table("int_offer_outcomes"), self.stg["applications"], self.stg["requisitions"]
+        )
+
+    def _fact_requisitions(self) -> DataFrame:
+        """Drop flags need no stage history, so the funnel is read only if it is stored."""
+        funnel = self.stored.get("int_application_funnel")
+        if funnel is None:
+            funnel = intermediate.with_drop_flags(self.stg["applications"])
+        return facts.fact_requisitions(self.stg["requisitions"], funnel, self.table("int_hire_pace"))
+
+    def _mart_ml_features(self) -> DataFrame:
+        return features.ml_features(
+            self.table("int_application_funnel"),
+            self.stg["applicants"],
+            self.stg["requisitions"],
+            self.stg["interviews"],
+            self.table("int_offer_outcomes"),
+            self.table("int_hire_pace"),
+            self.table("int_req_first_fill"),
+            self.stg["applications"],
+        )
+
+    def staged(self) -> dict[str, DataFrame]:
+        return {f"stg_{name}": df for name, df in self.stg.items()}
+
+    def marts(self) -> dict[str, DataFrame]:
+        return {name: self.table(name) for name in MARTS}
+
+
+# Stored layers, each with the key later joins use.
+INTERMEDIATE = {
+    "int_application_funnel": "application_id",
+    "int_hire_pace": "application_id",
+    "int_req_first_fill": "req_id",
+}
+MARTS = {
+    "dim_applicant": "applicant_key",
+    "dim_requisition": "req_id",
+    "dim_recruiter": "recruiter_key",
+    "dim_date": "date_key",
+    "fact_applications": "application_id",
+    "fact_offers": "application_id",
+    "fact_requisitions": "req_id",
+    FEATURE_MART: "application_id",
+}
+_BUCKETED = {"int_application_funnel", "int_hire_pace", "fact_applications", "fact_offers", FEATURE_MART}
+
+
+def build(
+    spark: SparkSession, src: str, tables: Tables, strict: bool = True, force: bool = False
+) -> dict[str, int] | None:
+    """Land, clean, join and check; the rows landed, or None when already built.
+
+    Staging stays a layer of views. The funnel, hire pace and first fills are
+    stored once because several marts read them. With ``strict`` a failed check
+    stops the build before anything that depends on the table is written.
+    """
+    if not force and tables.is_built("marts", FEATURE_MART):
+        return None
+    landed = land_raw(spark, src, tables)
+    house = Warehouse(spark, {name: tables.read("raw", name) for name in CONTRACT})
+    for name, df in house.staged().items():
+        tables.view(df, name)
+    if strict:
+        gate(run_suite(house.staged(), STAGING_CHECKS))
+    _store(house, tables, "intermediate", INTERMEDIATE)
+    tables.view(house.table("int_offer_outcomes"), "int_offer_outcomes")
+    stars = {name: key for name, key in MARTS.items() if name != FEATURE_MART}
+    _store(house, tables, "marts", stars)
+    if strict:
+        gate(run_suite(house.marts(), [*MART_CHECKS, *OWN_CHECKS]))
+        gate(run_suite(house.marts(), MART_EXPECTATIONS))
+    _store(house, tables, "marts", {FEATURE_MART: MARTS[FEATURE_MART]})
+    if strict:
+        gate(run_suite(house.marts(), FEATURE_CHECKS))
+    return landed
+
+
+def _store(house: Warehouse, tables: Tables, layer: str, names: dict[str, str]) -> None:
+    for name, key in names.items():
+        bucket_by = (key,) if name in _BUCKETED else ()
+        house.stored[name] = tables.write(house.table(name), layer, name, bucket_by)
+
+
+def open_warehouse(spark: SparkSession, tables: Tables) -> Warehouse:
+    """The frames of a finished build, read from storage."""
+    stored = {name: tables.read("intermediate", name) for name in INTERMEDIATE}
+    stored.update({name: tables.read("marts", name) for name in MARTS})
+    return Warehouse(spark, {name: tables.read("raw", name) for name in CONTRACT}, stored)
