@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..quality import FEATURE_CHECKS, MART_CHECKS, MART_EXPECTATIONS, OWN_CHECKS, STAGING_CHECKS, gate, run_suite
 from ..schemas import CONTRACT
-from ..sources import Tables, land_raw
+from ..sources import Frames, Tables, land_raw
 from . import dims, facts, features, intermediate
 from .staging import stage_all
 
@@ -20,17 +21,16 @@ class Warehouse:
     """Lazy frames of every layer over the seven raw tables."""
 
     spark: SparkSession
-    raw: dict[str, DataFrame]
+    raw: Mapping[str, DataFrame]
     stored: dict[str, DataFrame] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self.stg = stage_all(self.raw)
+        self._planned = Frames(_DERIVED, lambda name: getattr(self, f"_{name}")())
 
     def table(self, name: str) -> DataFrame:
         """A stored table where there is one, else its plan."""
-        if name not in self.stored:
-            return getattr(self, f"_{name}")()
-        return self.stored[name]
+        return self.stored[name] if name in self.stored else self._planned[name]
 
     def _int_application_funnel(self) -> DataFrame:
         return intermediate.application_funnel(self.stg["applications"], self.stg["stage_history"])
@@ -90,11 +90,11 @@ class Warehouse:
             self.stg["applications"],
         )
 
-    def staged(self) -> dict[str, DataFrame]:
-        return {f"stg_{name}": df for name, df in self.stg.items()}
+    def staged(self) -> Frames:
+        return Frames([f"stg_{name}" for name in self.stg], lambda name: self.stg[name.removeprefix("stg_")])
 
-    def marts(self) -> dict[str, DataFrame]:
-        return {name: self.table(name) for name in MARTS}
+    def marts(self) -> Frames:
+        return Frames(tuple(MARTS), self.table)
 
 
 # Stored layers, each with the key later joins use.
@@ -113,6 +113,7 @@ MARTS = {
     "fact_requisitions": "req_id",
     FEATURE_MART: "application_id",
 }
+_DERIVED = ("int_offer_outcomes", *INTERMEDIATE, *MARTS)
 _BUCKETED = {"int_application_funnel", "int_hire_pace", "fact_applications", "fact_offers", FEATURE_MART}
 
 
@@ -128,25 +129,26 @@ def build(
     if not force and tables.is_built("marts", FEATURE_MART):
         return None
     landed = land_raw(spark, src, tables)
-    house = Warehouse(spark, {name: tables.read("raw", name) for name in CONTRACT})
+    house = Warehouse(spark, _raw(tables))
     for name, df in house.staged().items():
         tables.view(df, name)
     if strict:
         gate(run_suite(house.staged(), STAGING_CHECKS))
-    _store(house, tables, "intermediate", INTERMEDIATE)
+    store(house, tables, "intermediate", INTERMEDIATE)
     tables.view(house.table("int_offer_outcomes"), "int_offer_outcomes")
     stars = {name: key for name, key in MARTS.items() if name != FEATURE_MART}
-    _store(house, tables, "marts", stars)
+    store(house, tables, "marts", stars)
     if strict:
         gate(run_suite(house.marts(), [*MART_CHECKS, *OWN_CHECKS]))
         gate(run_suite(house.marts(), MART_EXPECTATIONS))
-    _store(house, tables, "marts", {FEATURE_MART: MARTS[FEATURE_MART]})
+    store(house, tables, "marts", {FEATURE_MART: MARTS[FEATURE_MART]})
     if strict:
         gate(run_suite(house.marts(), FEATURE_CHECKS))
     return landed
 
 
-def _store(house: Warehouse, tables: Tables, layer: str, names: dict[str, str]) -> None:
+def store(house: Warehouse, tables: Tables, layer: str, names: dict[str, str]) -> None:
+    """Write tables of a layer; plans made from ``house`` afterwards read the files."""
     for name, key in names.items():
         bucket_by = (key,) if name in _BUCKETED else ()
         house.stored[name] = tables.write(house.table(name), layer, name, bucket_by)
@@ -156,4 +158,8 @@ def open_warehouse(spark: SparkSession, tables: Tables) -> Warehouse:
     """The frames of a finished build, read from storage."""
     stored = {name: tables.read("intermediate", name) for name in INTERMEDIATE}
     stored.update({name: tables.read("marts", name) for name in MARTS})
-    return Warehouse(spark, {name: tables.read("raw", name) for name in CONTRACT}, stored)
+    return Warehouse(spark, _raw(tables), stored)
+
+
+def _raw(tables: Tables) -> Frames:
+    return Frames(tuple(CONTRACT), lambda name: tables.read("raw", name))

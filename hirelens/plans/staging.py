@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import as_type, bool_default, clean_text, trimmed
 from ..schemas import CONTRACT
+from ..sources import Frames
 
 # Text columns that are cleaned, by table; every other column is cast to its contract type.
 CLEANED = {
@@ -67,5 +70,5 @@ def stg_hires(raw: DataFrame) -> DataFrame:
     return stage(raw, "hires")
 
 
-def stage_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {table: stage(df, table) for table, df in raw.items()}
+def stage_all(raw: Mapping[str, DataFrame]) -> Frames:
+    return Frames(tuple(raw), lambda table: stage(raw[table], table))

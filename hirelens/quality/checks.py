@@ -10,7 +10,7 @@ Null rule: every check but ``not_null`` passes over nulls.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -136,7 +136,7 @@ def _relationship(df: DataFrame, check: Check, parent: DataFrame) -> DataFrame:
     )
 
 
-def run_suite(frames: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+def run_suite(frames: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Result rows of ``checks``; ``frames`` holds every table they name."""
     parts = []
     for table in dict.fromkeys(check.table for check in checks):

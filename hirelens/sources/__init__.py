@@ -1,9 +1,10 @@
 """Contract files, stored tables and the binding to the driver's tables."""
 
 from .contract import land_raw, read_contract_csv, require_inputs, row_counts, write_csv
-from .tables import Tables, layer_name
+from .tables import Frames, Tables, layer_name
 
 __all__ = [
+    "Frames",
     "Tables",
     "land_raw",
     "layer_name",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -53,7 +54,7 @@ def land_raw(spark: SparkSession, src: str, tables: Tables) -> dict[str, int]:
     return {**counts, "total": sum(counts.values())}
 
 
-def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
+def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     """(table_name, row_count) of every frame, and the grand total."""
     each = [
         df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")

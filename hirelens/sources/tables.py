@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -14,6 +14,26 @@ def layer_name(custom: str | None, default: str) -> str:
     return custom.strip() if custom else default
 
 
+class Frames(Mapping[str, DataFrame]):
+    """Named frames, each planned when first asked for."""
+
+    def __init__(self, names: Sequence[str], plan: Callable[[str], DataFrame]):
+        self._names, self._plan, self._planned = tuple(names), plan, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._planned:
+            if name not in self._names:
+                raise KeyError(name)
+            self._planned[name] = self._plan(name)
+        return self._planned[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
 @dataclass(frozen=True)
 class Tables:
     """Parquet tables under ``root``, or catalog tables when ``root`` is None.

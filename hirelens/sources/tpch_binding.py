@@ -9,212 +9,206 @@ repeated line items, orders without line items, parts without a recruiter.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..domain import DATE_SPINE_START, DEPARTMENTS, EDUCATION, LOCATIONS, SENIORITY, SOURCES, STAGES
 from ..schemas import CONTRACT
+from .tables import Frames
 
 # Fixed values of the stand-in data.
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 FEEDBACK = ("Not a fit", "Some gaps", "Acceptable", "Good", "Excellent")
 
 
-def _pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, values)), (index + 1).cast("int"))
+def _array(values: tuple[str, ...]) -> str:
+    return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
+
 
+def _pick(values: tuple[str, ...], index: str) -> str:
+    return f"element_at({_array(values)}, int({index}) + 1)"
 
-def _id(prefix: str, key: Column) -> Column:
-    return F.concat(F.lit(prefix), key.cast("string"))
 
+def _opened(part: str) -> str:
+    return f"date_add(date'{DATE_SPINE_START}', int({part} * 37 % 540))"
 
-def _opened(part: Column) -> Column:
-    return F.date_add(F.lit(DATE_SPINE_START).cast("date"), (part * 37 % 540).cast("int"))
 
+def _applied(order: str) -> str:
+    return f"date_add({_opened('part')}, int({order} % 46))"
 
-def _applied(part: Column, order: Column) -> Column:
-    return F.date_add(_opened(part), (order % 46).cast("int"))
 
+HAS_OFFER = "(o_orderstatus = 'F' or (o_orderstatus = 'P' and o_orderkey % 4 = 0))"
 
-def _conform(df: DataFrame, table: str) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in CONTRACT[table].fields])
+
+def _conform(df: DataFrame, table: str, columns: dict[str, str]) -> DataFrame:
+    """``columns`` (SQL text by name) cast to the contract's types, in its order."""
+    return df.selectExpr(
+        *[f"cast({columns[f.name]} as {f.dataType.simpleString()}) as {f.name}" for f in CONTRACT[table].fields]
+    )
 
 
 class Binding:
     """Contract tables of one driver directory; every attribute is a lazy frame."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, dirty: bool = False):
-        self.spark, self.dir, self.dirty = spark, sf_dir.rstrip("/"), dirty
-
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        self.dirty = dirty
+        names = ("customer", "part", "orders", "lineitem")
+        self.driver = Frames(names, lambda name: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
-    def contract(self) -> dict[str, DataFrame]:
-        return {name: getattr(self, name) for name in CONTRACT}
+    def contract(self) -> Frames:
+        return Frames(tuple(CONTRACT), lambda name: getattr(self, name))
 
     @property
     def requisitions(self) -> DataFrame:
-        p = F.col("p_partkey")
-        recruiter = _id("REC", p % 50)
+        recruiter = "concat('REC', p_partkey % 50)"
         if self.dirty:
-            recruiter = F.when(p % 211 != 0, recruiter)
+            recruiter = f"if(p_partkey % 211 = 0, null, {recruiter})"
         return _conform(
-            self.table("part").select(
-                _id("REQ", p).alias("req_id"),
-                F.upper(_pick(DEPARTMENTS, p % 7)).alias("department"),
-                F.initcap(_pick(SENIORITY, F.col("p_size") % 5)).alias("seniority_level"),
-                F.concat(_pick(LOCATIONS, p % 8), F.lit("  ")).alias("location"),
-                (F.col("p_size") + 45).alias("target_time_to_fill_days"),
-                _opened(p).alias("opened_date"),
-                _id("HM", p % 97).alias("hiring_manager_id"),
-                recruiter.alias("recruiter_id"),
-            ),
+            self.driver["part"],
             "requisitions",
+            {
+                "req_id": "concat('REQ', p_partkey)",
+                "department": f"upper({_pick(DEPARTMENTS, 'p_partkey % 7')})",
+                "seniority_level": f"initcap({_pick(SENIORITY, 'p_size % 5')})",
+                "location": f"concat({_pick(LOCATIONS, 'p_partkey % 8')}, '  ')",
+                "target_time_to_fill_days": "p_size + 45",
+                "opened_date": _opened("p_partkey"),
+                "hiring_manager_id": "concat('HM', p_partkey % 97)",
+                "recruiter_id": recruiter,
+            },
         )
 
     @property
     def applicants(self) -> DataFrame:
-        c = F.col("c_custkey")
-        source = _pick(SOURCES, F.array_position(F.array(*map(F.lit, SEGMENTS)), F.col("c_mktsegment")) - 1)
+        source = _pick(SOURCES, f"array_position({_array(SEGMENTS)}, c_mktsegment) - 1")
         return _conform(
-            self.table("customer").select(
-                _id("APP", c).alias("applicant_id"),
-                F.concat(F.lit(" "), F.initcap(source)).alias("source"),
-                F.date_add(F.lit(DATE_SPINE_START).cast("date"), (c % 560).cast("int")).alias("applied_date"),
-                F.col("c_nationkey").alias("resume_years_experience"),
-                _pick(EDUCATION, F.col("c_nationkey") % 5).alias("education_level"),
-                F.when(c % 10 != 0, source == "referral").alias("referral_flag"),
-            ),
+            self.driver["customer"],
             "applicants",
+            {
+                "applicant_id": "concat('APP', c_custkey)",
+                "source": f"concat(' ', initcap({source}))",
+                "applied_date": f"date_add(date'{DATE_SPINE_START}', int(c_custkey % 560))",
+                "resume_years_experience": "c_nationkey",
+                "education_level": _pick(EDUCATION, "c_nationkey % 5"),
+                "referral_flag": f"if(c_custkey % 10 = 0, null, {source} = 'referral')",
+            },
         )
 
+    @cached_property
     def _orders(self) -> DataFrame:
         """Orders with the smallest part of their line items as ``part``."""
-        part = self.table("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-            F.min("l_partkey").alias("part")
-        )
-        return self.table("orders").join(part, "o_orderkey", "left" if self.dirty else "inner")
-
-    def _offered(self) -> Column:
-        return (F.col("o_orderstatus") == "F") | (
-            (F.col("o_orderstatus") == "P") & (F.col("o_orderkey") % 4 == 0)
+        part = (
+            self.driver["lineitem"]
+            .groupBy(F.col("l_orderkey").alias("o_orderkey"))
+            .agg(F.min("l_partkey").alias("part"))
         )
+        return self.driver["orders"].join(part, "o_orderkey", "left" if self.dirty else "inner")
 
     @property
     def applications(self) -> DataFrame:
-        o, status = F.col("o_orderkey"), F.col("o_orderstatus")
-        outcome = (
-            F.when(status == "F", "hired")
-            .when(status == "P", F.when(self._offered(), "rejected").otherwise("withdrawn"))
-            .otherwise(F.when(o % 2 == 0, "rejected").otherwise("in_progress"))
-        )
-        stage = _pick(STAGES, F.substring("o_orderpriority", 1, 1).cast("int") - 1)
         return _conform(
-            self._orders().select(
-                _id("APN", o).alias("application_id"),
-                _id("APP", F.col("o_custkey")).alias("applicant_id"),
-                _id("REQ", F.col("part")).alias("req_id"),
-                _applied(F.col("part"), o).alias("applied_date"),
-                F.upper(stage).alias("current_stage"),
-                F.concat(outcome, F.lit(" ")).alias("final_outcome"),
-            ),
+            self._orders,
             "applications",
+            {
+                "application_id": "concat('APN', o_orderkey)",
+                "applicant_id": "concat('APP', o_custkey)",
+                "req_id": "concat('REQ', part)",
+                "applied_date": _applied("o_orderkey"),
+                "current_stage": f"upper({_pick(STAGES, 'int(left(o_orderpriority, 1)) - 1')})",
+                "final_outcome": f"""concat(case
+                    when o_orderstatus = 'F' then 'hired'
+                    when o_orderstatus = 'P' then if({HAS_OFFER}, 'rejected', 'withdrawn')
+                    when o_orderkey % 2 = 0 then 'rejected'
+                    else 'in_progress' end, ' ')""",
+            },
         )
 
-    def _lines(self, *cols: str) -> DataFrame:
+    def _lines(self, *columns: str) -> DataFrame:
         """Line items keyed by (l_orderkey, l_linenumber), with their order's ``part``.
 
         Dirty keeps repeated line items. The window runs over at most seven
         line numbers per order.
         """
-        lines = self.table("lineitem")
+        lines = self.driver["lineitem"]
         key = ["l_orderkey", "l_linenumber"]
         if self.dirty:
             part = lines.groupBy("l_orderkey").agg(F.min("l_partkey").alias("part"))
-            return lines.select(*key, *cols).join(part, "l_orderkey")
-        keyed = lines.groupBy(*key).agg(F.min("l_partkey").alias("part"), *[F.min(c).alias(c) for c in cols])
+            return lines.select(*key, *columns).join(part, "l_orderkey")
+        keyed = lines.groupBy(*key).agg(F.min("l_partkey").alias("part"), *[F.min(c).alias(c) for c in columns])
         return keyed.withColumn("part", F.min("part").over(Window.partitionBy("l_orderkey")))
 
     @property
     def stage_history(self) -> DataFrame:
-        o, ln = F.col("l_orderkey"), F.col("l_linenumber")
-        entered = F.date_add(_applied(F.col("part"), o), (ln - 1) * 4)
+        entered = f"date_add({_applied('l_orderkey')}, (l_linenumber - 1) * 4)"
         return _conform(
-            self._lines("l_quantity")
-            .filter(ln <= 5)
-            .select(
-                _id("APN", o).alias("application_id"),
-                F.initcap(_pick(STAGES, ln - 1)).alias("stage_name"),
-                entered.alias("entered_date"),
-                F.date_add(entered, F.col("l_quantity").cast("int")).alias("exited_date"),
-            ),
+            self._lines("l_quantity").filter("l_linenumber <= 5"),
             "stage_history",
+            {
+                "application_id": "concat('APN', l_orderkey)",
+                "stage_name": f"initcap({_pick(STAGES, 'l_linenumber - 1')})",
+                "entered_date": entered,
+                "exited_date": f"date_add({entered}, int(l_quantity))",
+            },
         )
 
     @property
     def interviews(self) -> DataFrame:
-        o, ln = F.col("l_orderkey"), F.col("l_linenumber")
-        score = F.col("l_quantity").cast("int") % 5
         return _conform(
-            self._lines("l_quantity", "l_suppkey", "l_returnflag")
-            .filter((ln >= 3) & (ln <= 5))
-            .select(
-                F.concat_ws("-", F.lit("INT"), o, ln).alias("interview_id"),
-                _id("APN", o).alias("application_id"),
-                (ln - 2).alias("interview_round"),
-                _id("IVR", F.col("l_suppkey")).alias("interviewer_id"),
-                F.date_add(_applied(F.col("part"), o), (ln - 1) * 4).alias("scheduled_date"),
-                (F.col("l_returnflag") != "R").alias("completed_flag"),
-                (score + 1).alias("feedback_score"),
-                F.concat(F.lit(" "), _pick(FEEDBACK, score)).alias("feedback_text"),
-            ),
+            self._lines("l_quantity", "l_suppkey", "l_returnflag").filter("l_linenumber between 3 and 5"),
             "interviews",
+            {
+                "interview_id": "concat_ws('-', 'INT', l_orderkey, l_linenumber)",
+                "application_id": "concat('APN', l_orderkey)",
+                "interview_round": "l_linenumber - 2",
+                "interviewer_id": "concat('IVR', l_suppkey)",
+                "scheduled_date": f"date_add({_applied('l_orderkey')}, (l_linenumber - 1) * 4)",
+                "completed_flag": "l_returnflag <> 'R'",
+                "feedback_score": "1 + int(l_quantity) % 5",
+                "feedback_text": f"concat(' ', {_pick(FEEDBACK, 'int(l_quantity) % 5')})",
+            },
         )
 
+    @cached_property
     def _offers(self) -> DataFrame:
         """Orders with an offer: its salary, dates and decision."""
-        o = F.col("o_orderkey")
         return (
-            self._orders()
-            .filter(self._offered() & F.col("part").isNotNull())
-            .select(
-                o,
-                F.date_add(_applied(F.col("part"), o), 20).alias("offer_date"),
-                (F.col("o_custkey") % 50 * 1000 + 80000).alias("midpoint"),
-                F.when(F.col("o_orderstatus") == "F", "accepted")
-                .when(o % 45 > 20, "expired")
-                .otherwise("declined")
-                .alias("decision"),
+            self._orders.filter(f"{HAS_OFFER} and part is not null")
+            .selectExpr(
+                "o_orderkey",
+                f"date_add({_applied('o_orderkey')}, 20) as offer_date",
+                "80 + o_custkey % 50 as midpoint_k",
+                """case when o_orderstatus = 'F' then 'Accepted'
+                   when o_orderkey % 45 > 20 then 'Expired' else 'Declined' end as decision""",
             )
-            .withColumn("response_date", F.expr("date_add(offer_date, int(1 + o_orderkey % 45))"))
+            .selectExpr("*", "date_add(offer_date, int(1 + o_orderkey % 45)) as response_date")
         )
 
     @property
     def offers(self) -> DataFrame:
-        o = F.col("o_orderkey")
         return _conform(
-            self._offers().select(
-                _id("OFF", o).alias("offer_id"),
-                _id("APN", o).alias("application_id"),
-                "offer_date",
-                (F.col("midpoint").cast("decimal(12,2)") * (o % 51 + 75).cast("int") / 100).alias("offer_salary"),
-                F.col("midpoint").alias("band_midpoint"),
-                "response_date",
-                F.initcap("decision").alias("decision"),
-            ),
+            self._offers,
             "offers",
+            {
+                "offer_id": "concat('OFF', o_orderkey)",
+                "application_id": "concat('APN', o_orderkey)",
+                "offer_date": "offer_date",
+                "offer_salary": "midpoint_k * 10 * (75 + o_orderkey % 51)",
+                "band_midpoint": "midpoint_k * 1000",
+                "response_date": "response_date",
+                "decision": "decision",
+            },
         )
 
     @property
     def hires(self) -> DataFrame:
-        o = F.col("o_orderkey")
         return _conform(
-            self._offers()
-            .filter(F.col("decision") == "accepted")
-            .select(
-                _id("HIRE", o).alias("hire_id"),
-                _id("OFF", o).alias("offer_id"),
-                F.date_add("response_date", (o % 18 + 7).cast("int")).alias("start_date"),
-            ),
+            self._offers.filter("decision = 'Accepted'"),
             "hires",
+            {
+                "hire_id": "concat('HIRE', o_orderkey)",
+                "offer_id": "concat('OFF', o_orderkey)",
+                "start_date": "date_add(response_date, int(7 + o_orderkey % 18))",
+            },
         )

@@ -144,7 +144,7 @@ SELECT 'HIRE' || o AS hire_id, offer_id, response_date + 7 + CAST(o % 18 AS INTE
 FROM raw_offers WHERE decision = 'Accepted'""",
     # ---- intermediate
     "funnel": """
-SELECT a.*, """
+SELECT a.application_id, a.applicant_id, a.req_id, a.applied_date, a.current_stage, a.final_outcome, """
     + ", ".join(
         f"max(exited_date - entered_date) FILTER (WHERE stage_name = '{s}') AS days_in_{s}" for s in STAGES
     )
@@ -154,8 +154,8 @@ SELECT a.*, """
        nullif(count(stage_name), 0) AS stages_recorded,
        a.final_outcome = 'withdrawn' AS was_dropped,
        CASE WHEN a.final_outcome = 'withdrawn' THEN a.current_stage END AS drop_stage
-FROM stg_applications a LEFT JOIN stg_stage_history h USING (application_id)
-GROUP BY ALL""",
+FROM stg_applications a LEFT JOIN stg_stage_history h ON h.application_id = a.application_id
+GROUP BY a.application_id, a.applicant_id, a.req_id, a.applied_date, a.current_stage, a.final_outcome""",
     "pace": """
 SELECT hire_id, offer_id, application_id, req_id, department, seniority_level, location, recruiter_id,
        hiring_manager_id, opened_date, start_date AS filled_date, target_time_to_fill_days,

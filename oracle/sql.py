@@ -212,11 +212,9 @@ SIGNAL_REPORT = "\nUNION ALL ".join(
     ]
 )
 
-KPI_VIEW = f"""
-WITH k AS (SELECT * FROM ({KPI}))
-""" + "\nUNION ALL ".join(
+KPI_VIEW = "\nUNION ALL ".join(
     [
-        f"SELECT '{section}' AS section, '{metric}' AS metric, CAST({column} AS DOUBLE) AS value FROM k"
+        f"SELECT '{section}' AS section, '{metric}' AS metric, CAST({column} AS DOUBLE) AS value FROM ({KPI})"
         for section, metric, column in [
             *[
                 ("totals", c, c)
@@ -250,13 +248,10 @@ ORPHANS = "\nUNION ALL ".join(
 )
 
 CONTRACT_TABLES = ("applicants", "requisitions", "applications", "stage_history", "interviews", "offers", "hires")
-ROW_COUNTS = (
-    "WITH c AS ("
-    + " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM stg_{t}" for t in CONTRACT_TABLES
-    )
-    + ") SELECT * FROM c UNION ALL SELECT 'total', CAST(sum(row_count) AS BIGINT) FROM c"
+EACH_COUNT = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM stg_{t}" for t in CONTRACT_TABLES
 )
+ROW_COUNTS = f"{EACH_COUNT} UNION ALL SELECT 'total', CAST(sum(row_count) AS BIGINT) FROM ({EACH_COUNT})"
 
 OPEN_AS_OF = f"""
 SELECT r.req_id, r.department, r.seniority_level, r.location, r.location IN {NICHE} AS is_niche_location,
