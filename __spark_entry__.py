@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +16,8 @@ from hirelens.ml.spec import DROP_OFF, MODELS, OFFER_DECLINE, TIME_TO_FILL, Mode
 from hirelens.ml.split import stratified_split
 from hirelens.ml.train import TrainConfig, TrainResult, importance_view, metrics_frame, train
 from hirelens.plans import dims, features, kpi, signals
-from hirelens.plans.intermediate import with_drop_flags
-from hirelens.plans.pipeline import INTERMEDIATE, MARTS, Warehouse, store
+from hirelens.plans.intermediate import req_first_fill, with_drop_flags
+from hirelens.plans.pipeline import Warehouse
 from hirelens.quality import (
     FEATURE_CHECKS,
     MART_CHECKS,
@@ -29,6 +29,7 @@ from hirelens.quality import (
     run_suite,
     summarise,
 )
+from hirelens.schemas import CONTRACT
 from hirelens.scoring import (
     at_risk_view,
     open_requisitions,
@@ -53,28 +54,34 @@ AS_OF = datetime.date(2025, 3, 1)
 SMOKE = TrainConfig(rounds=20)
 
 
+_houses: dict[tuple[str, str, bool], Warehouse] = {}
+
+
 def _house(spark: SparkSession, sf_dir: str, dirty: bool = False) -> Warehouse:
-    configure(spark)
-    return Warehouse(spark, Binding(spark, sf_dir, dirty).contract())
+    """The warehouse over a driver directory, landed once per session.
 
+    Contract tables are written to the shared folder first, as a load would
+    leave them; intermediates and marts follow when a query first reads them.
+    """
+    configure(spark)
+    session = spark.sparkContext.applicationId
+    key = (session, sf_dir, dirty)
+    if key not in _houses:
+        variant = sf_dir.strip("/").replace("/", "-") + ("-dirty" if dirty else "")
+        tables = Tables(spark, f"{shared_dir(spark)}/{session}/{variant}")
+        raw = Frames(tuple(CONTRACT), partial(_landed, Binding(spark, sf_dir, dirty).contract(), tables))
+        _houses[key] = Warehouse(spark, raw, tables)
+    return _houses[key]
 
-_stored: dict[tuple[str, str], Warehouse] = {}
 
+def _landed(contract: Frames, tables: Tables, name: str) -> DataFrame:
+    return tables.write(contract[name], "raw", name)
 
-def _marts(spark: SparkSession, sf_dir: str) -> Frames:
-    """Every mart, written to the shared folder once per session.
 
-    A suite reads each table many times, one column at a time; stored columns
-    are cheaper than as many runs of the plans.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _stored:
-        house = _house(spark, sf_dir)
-        tables = Tables(spark, "/".join([shared_dir(spark), *key[:1], sf_dir.strip("/").replace("/", "-")]))
-        store(house, tables, "intermediate", INTERMEDIATE)
-        store(house, tables, "marts", MARTS)
-        _stored[key] = house
-    return _stored[key].marts()
+def _lazy_house(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The same plans straight over the driver tables, nothing stored."""
+    configure(spark)
+    return Warehouse(spark, Binding(spark, sf_dir).contract())
 
 
 def _doubles(df: DataFrame) -> DataFrame:
@@ -84,12 +91,13 @@ def _doubles(df: DataFrame) -> DataFrame:
     )
 
 
-def _table(name: str) -> Query:
-    return lambda spark, sf_dir: _doubles(_house(spark, sf_dir).table(name))
+def _plan(name: str) -> Query:
+    """The plan of one table; the tables below it may be stored."""
+    return lambda spark, sf_dir: _doubles(_house(spark, sf_dir).plan(name))
 
 
 def _staged(name: str) -> Query:
-    return lambda spark, sf_dir: _doubles(_house(spark, sf_dir).stg[name])
+    return lambda spark, sf_dir: _doubles(_lazy_house(spark, sf_dir).stg[name])
 
 
 def _on(plan: Callable[[Warehouse], DataFrame]) -> Query:
@@ -97,7 +105,7 @@ def _on(plan: Callable[[Warehouse], DataFrame]) -> Query:
 
 
 def _suite(checks: list[Check]) -> Query:
-    return lambda spark, sf_dir: run_suite(_marts(spark, sf_dir), checks)
+    return _on(lambda h: run_suite(h.marts(), checks))
 
 
 # ---- plans over the warehouse -------------------------------------------------
@@ -122,7 +130,11 @@ def _max_round_gap(h: Warehouse) -> DataFrame:
 
 
 def _recruiter_load(h: Warehouse) -> DataFrame:
-    return features.recruiter_load(h.stg["applications"], h.stg["requisitions"], h.table("int_req_first_fill"))
+    return features.recruiter_load(h.stg["applications"], h.table("int_req_windows"))
+
+
+def _first_fill(h: Warehouse) -> DataFrame:
+    return req_first_fill(h.stg["hires"], h.stg["offers"], h.stg["applications"])
 
 
 def _open_reqs(h: Warehouse) -> DataFrame:
@@ -130,9 +142,13 @@ def _open_reqs(h: Warehouse) -> DataFrame:
 
 
 def _open_reqs_as_of(h: Warehouse) -> DataFrame:
-    windows = features.req_windows(h.stg["requisitions"], h.table("int_req_first_fill"))
     return open_requisitions(
-        h.table("fact_requisitions"), h.table("dim_requisition"), h.stg["requisitions"], "as_of", windows, AS_OF
+        h.table("fact_requisitions"),
+        h.table("dim_requisition"),
+        h.stg["requisitions"],
+        "as_of",
+        h.table("int_req_windows"),
+        AS_OF,
     )
 
 
@@ -294,7 +310,7 @@ def _score_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entry(spark: SparkSession) -> DataFrame:
     """The feature mart: every application with its features and labels."""
-    return _table("mart_ml_features")(spark, "/root/testdata/sf0.001")
+    return _plan("mart_ml_features")(spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Query]:
@@ -311,25 +327,25 @@ def queries() -> dict[str, Query]:
                 "hires",
             )
         },
-        "application_funnel": _table("int_application_funnel"),
-        "hire_pace": _table("int_hire_pace"),
-        "offer_outcomes": _table("int_offer_outcomes"),
-        "dim_applicant": _table("dim_applicant"),
-        "dim_requisition": _table("dim_requisition"),
-        "dim_recruiter": _table("dim_recruiter"),
+        "application_funnel": _plan("int_application_funnel"),
+        "hire_pace": _plan("int_hire_pace"),
+        "offer_outcomes": _plan("int_offer_outcomes"),
+        "dim_applicant": _plan("dim_applicant"),
+        "dim_requisition": _plan("dim_requisition"),
+        "dim_recruiter": _plan("dim_recruiter"),
         "dim_date": _on(_dim_date),
-        "fact_applications": _table("fact_applications"),
-        "fact_offers": _table("fact_offers"),
-        "fact_requisitions": _table("fact_requisitions"),
+        "fact_applications": _plan("fact_applications"),
+        "fact_offers": _plan("fact_offers"),
+        "fact_requisitions": _plan("fact_requisitions"),
         "round_gaps": _on(_round_gaps),
         "max_round_gap": _on(_max_round_gap),
-        "req_first_fill": _table("int_req_first_fill"),
+        "req_first_fill": _on(_first_fill),
         "recruiter_load_daily": _on(_recruiter_load),
         "lifetime_load": _on(
             lambda h: ops.lifetime_load(h.stg["requisitions"], "recruiter_id", "recruiter_concurrent_open_reqs")
         ),
         "open_reqs_as_of": _on(_open_reqs_as_of),
-        "ml_features": _table("mart_ml_features"),
+        "ml_features": _plan("mart_ml_features"),
         "kpi_summary": _on(_kpis),
         "kpi_view": _on(lambda h: kpi.kpi_view(_kpis(h))),
         "signal_referral": _on(lambda h: signals.signal_referral(h.table("fact_offers"), h.table("dim_applicant"))),
@@ -348,7 +364,7 @@ def queries() -> dict[str, Query]:
         "dq_features": _suite(FEATURE_CHECKS),
         "dq_orphans": _dq_orphans,
         "dq_flag_implication": _suite([c for c in MART_EXPECTATIONS if c.kind == "implies"]),
-        "dq_summary": lambda spark, sf_dir: summarise(run_suite(_marts(spark, sf_dir), MART_EXPECTATIONS)),
+        "dq_summary": _on(lambda h: summarise(run_suite(h.marts(), MART_EXPECTATIONS))),
         "recommend_fill": _on(_recommend_fill),
         "recommend_dropout": _on(_recommend_dropout),
         "recommend_offer": _on(_recommend_offer),

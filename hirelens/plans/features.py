@@ -9,7 +9,6 @@ from ..domain import NICHE_LOCATIONS, STAGES
 from ..operators import attach_open_load, max_round_gap, open_load_curve
 from .dims import is_niche
 from .facts import interview_rollup
-from .intermediate import req_first_fill
 
 LOAD = "recruiter_concurrent_open_reqs"
 
@@ -29,11 +28,6 @@ def interview_features(interviews: DataFrame) -> DataFrame:
     )
 
 
-def req_windows(reqs: DataFrame, fills: DataFrame) -> DataFrame:
-    """Requisitions with the date they were first filled."""
-    return reqs.join(fills, "req_id", "left")
-
-
 def load_curve(windows: DataFrame, apps: DataFrame) -> DataFrame:
     """Open requisitions per (recruiter, day) at every day someone applied to them.
 
@@ -44,9 +38,8 @@ def load_curve(windows: DataFrame, apps: DataFrame) -> DataFrame:
     return open_load_curve(windows, points, "recruiter_id", "opened_date", "filled_date", "applied_date")
 
 
-def recruiter_load(apps: DataFrame, reqs: DataFrame, fills: DataFrame) -> DataFrame:
+def recruiter_load(apps: DataFrame, windows: DataFrame) -> DataFrame:
     """Per application: the recruiter's other requisitions open on the day it came in."""
-    windows = req_windows(reqs, fills)
     own = windows.select("req_id", "recruiter_id", "opened_date", "filled_date")
     located = apps.select("application_id", "req_id", "applied_date").join(own, "req_id", "left")
     curve = load_curve(windows, apps)
@@ -57,20 +50,18 @@ def recruiter_load(apps: DataFrame, reqs: DataFrame, fills: DataFrame) -> DataFr
 def ml_features(
     funnel: DataFrame,
     applicants: DataFrame,
-    reqs: DataFrame,
+    windows: DataFrame,
     interviews: DataFrame,
     outcomes: DataFrame,
     pace: DataFrame,
-    fills: DataFrame,
-    apps: DataFrame,
     niche: tuple[str, ...] = NICHE_LOCATIONS,
 ) -> DataFrame:
     """Candidate, process, requisition and offer features with their labels.
 
     All inputs keyed by application join on one partitioning; then the row
-    moves once per lookup: requisition, (recruiter, day), applicant.
+    moves once per lookup: requisition, (recruiter, day), applicant. ``windows``
+    holds requisitions with their first fill date.
     """
-    windows = req_windows(reqs, fills)
     offered = outcomes.select(
         "application_id", "offer_id", "decision", "offer_to_band_ratio", "days_to_respond"
     )
@@ -84,7 +75,7 @@ def ml_features(
     )
     located = by_application.join(role, "req_id", "left")
     loaded = attach_open_load(
-        located, load_curve(windows, apps), "recruiter_id", "opened_date", "filled_date", "applied_date", LOAD
+        located, load_curve(windows, funnel), "recruiter_id", "opened_date", "filled_date", "applied_date", LOAD
     )
     candidate = applicants.select("applicant_id", "source", "is_referral", "resume_years_experience")
     has_offer = F.col("offer_id").isNotNull()

@@ -73,6 +73,16 @@ def req_first_fill(hires: DataFrame, offers: DataFrame, apps: DataFrame) -> Data
     return first_event(_hired_applications(hires, offers, apps), "req_id", "start_date", "filled_date")
 
 
+def first_fill(pace: DataFrame) -> DataFrame:
+    """``req_first_fill`` from hire pace, for requisitions that exist."""
+    return first_event(pace, "req_id", "filled_date", "filled_date")
+
+
+def req_windows(reqs: DataFrame, fills: DataFrame) -> DataFrame:
+    """Requisitions with the date they were first filled, null while open."""
+    return reqs.join(fills, "req_id", "left")
+
+
 def offer_outcomes(offers: DataFrame) -> DataFrame:
     """Offer economics against the band midpoint, response time and outcome flags."""
     return offers.select(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,92 +15,13 @@ from .staging import stage_all
 FEATURE_MART = "mart_ml_features"
 
 
-@dataclass
-class Warehouse:
-    """Lazy frames of every layer over the seven raw tables."""
-
-    spark: SparkSession
-    raw: Mapping[str, DataFrame]
-    stored: dict[str, DataFrame] = field(default_factory=dict)
-
-    def __post_init__(self) -> None:
-        self.stg = stage_all(self.raw)
-        self._planned = Frames(_DERIVED, lambda name: getattr(self, f"_{name}")())
-
-    def table(self, name: str) -> DataFrame:
-        """A stored table where there is one, else its plan."""
-        return self.stored[name] if name in self.stored else self._planned[name]
-
-    def _int_application_funnel(self) -> DataFrame:
-        return intermediate.application_funnel(self.stg["applications"], self.stg["stage_history"])
-
-    def _int_hire_pace(self) -> DataFrame:
-        s = self.stg
-        return intermediate.hire_pace(s["hires"], s["offers"], s["applications"], s["requisitions"])
-
-    def _int_offer_outcomes(self) -> DataFrame:
-        return intermediate.offer_outcomes(self.stg["offers"])
-
-    def _int_req_first_fill(self) -> DataFrame:
-        s = self.stg
-        return intermediate.req_first_fill(s["hires"], s["offers"], s["applications"])
-
-    def _dim_applicant(self) -> DataFrame:
-        return dims.dim_applicant(self.stg["applicants"])
-
-    def _dim_requisition(self) -> DataFrame:
-        return dims.dim_requisition(self.stg["requisitions"])
-
-    def _dim_recruiter(self) -> DataFrame:
-        return dims.dim_recruiter(self.stg["requisitions"])
-
-    def _dim_date(self) -> DataFrame:
-        return dims.dim_date(self.spark)
-
-    def _fact_applications(self) -> DataFrame:
-        return facts.fact_applications(
-            self.table("int_application_funnel"),
-            self.stg["requisitions"],
-            self.stg["interviews"],
-            self.table("int_hire_pace"),
-        )
-
-    def _fact_offers(self) -> DataFrame:
-        return facts.fact_offers(
-            self.table("int_offer_outcomes"), self.stg["applications"], self.stg["requisitions"]
-        )
-
-    def _fact_requisitions(self) -> DataFrame:
-        """Drop flags need no stage history, so the funnel is read only if it is stored."""
-        funnel = self.stored.get("int_application_funnel")
-        if funnel is None:
-            funnel = intermediate.with_drop_flags(self.stg["applications"])
-        return facts.fact_requisitions(self.stg["requisitions"], funnel, self.table("int_hire_pace"))
-
-    def _mart_ml_features(self) -> DataFrame:
-        return features.ml_features(
-            self.table("int_application_funnel"),
-            self.stg["applicants"],
-            self.stg["requisitions"],
-            self.stg["interviews"],
-            self.table("int_offer_outcomes"),
-            self.table("int_hire_pace"),
-            self.table("int_req_first_fill"),
-            self.stg["applications"],
-        )
-
-    def staged(self) -> Frames:
-        return Frames([f"stg_{name}" for name in self.stg], lambda name: self.stg[name.removeprefix("stg_")])
-
-    def marts(self) -> Frames:
-        return Frames(tuple(MARTS), self.table)
-
-
-# Stored layers, each with the key later joins use.
+# Stored tables with the key that later joins use. The three intermediates are
+# stored because several marts read each of them; the rest of that layer, like
+# staging, stays a set of views.
 INTERMEDIATE = {
     "int_application_funnel": "application_id",
     "int_hire_pace": "application_id",
-    "int_req_first_fill": "req_id",
+    "int_req_windows": "req_id",
 }
 MARTS = {
     "dim_applicant": "applicant_key",
@@ -113,52 +33,123 @@ MARTS = {
     "fact_requisitions": "req_id",
     FEATURE_MART: "application_id",
 }
-_DERIVED = ("int_offer_outcomes", *INTERMEDIATE, *MARTS)
 _BUCKETED = {"int_application_funnel", "int_hire_pace", "fact_applications", "fact_offers", FEATURE_MART}
 
 
+class Warehouse:
+    """The layers over the seven raw tables.
+
+    ``plan`` is the lazy frame of any derived table. ``table`` is what another
+    plan should read: the stored copy, written on first use, if the warehouse
+    has storage, else the plan itself.
+    """
+
+    def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame], tables: Tables | None = None):
+        self.spark, self.raw, self.tables = spark, raw, tables
+        self.stg = stage_all(raw)
+        self.plans = Frames(("int_offer_outcomes", *INTERMEDIATE, *MARTS), self._plan)
+        self.stored: dict[str, DataFrame] = {}
+
+    def plan(self, name: str) -> DataFrame:
+        return self.plans[name]
+
+    def table(self, name: str) -> DataFrame:
+        if name in self.stored:
+            return self.stored[name]
+        if self.tables is None or name not in {**INTERMEDIATE, **MARTS}:
+            return self.plan(name)
+        return self.store(name)
+
+    def store(self, name: str) -> DataFrame:
+        """Write one table; plans made afterwards read the files."""
+        layer, key = ("marts", MARTS[name]) if name in MARTS else ("intermediate", INTERMEDIATE[name])
+        self.stored[name] = self.tables.write(self.plan(name), layer, name, (key,) if name in _BUCKETED else ())
+        return self.stored[name]
+
+    def staged(self) -> Frames:
+        return Frames([f"stg_{name}" for name in self.stg], lambda name: self.stg[name.removeprefix("stg_")])
+
+    def marts(self) -> Frames:
+        return Frames(tuple(MARTS), self.table)
+
+    def _plan(self, name: str) -> DataFrame:
+        s, t = self.stg, self.table
+        match name:
+            case "int_application_funnel":
+                return intermediate.application_funnel(s["applications"], s["stage_history"])
+            case "int_hire_pace":
+                return intermediate.hire_pace(s["hires"], s["offers"], s["applications"], s["requisitions"])
+            case "int_offer_outcomes":
+                return intermediate.offer_outcomes(s["offers"])
+            case "int_req_windows":
+                return intermediate.req_windows(s["requisitions"], intermediate.first_fill(t("int_hire_pace")))
+            case "dim_applicant":
+                return dims.dim_applicant(s["applicants"])
+            case "dim_requisition":
+                return dims.dim_requisition(s["requisitions"])
+            case "dim_recruiter":
+                return dims.dim_recruiter(s["requisitions"])
+            case "dim_date":
+                return dims.dim_date(self.spark)
+            case "fact_applications":
+                return facts.fact_applications(
+                    t("int_application_funnel"), s["requisitions"], s["interviews"], t("int_hire_pace")
+                )
+            case "fact_offers":
+                return facts.fact_offers(t("int_offer_outcomes"), s["applications"], s["requisitions"])
+            case "fact_requisitions":
+                return facts.fact_requisitions(
+                    s["requisitions"], intermediate.with_drop_flags(s["applications"]), t("int_hire_pace")
+                )
+            case "mart_ml_features":
+                return features.ml_features(
+                    t("int_application_funnel"),
+                    s["applicants"],
+                    t("int_req_windows"),
+                    s["interviews"],
+                    t("int_offer_outcomes"),
+                    t("int_hire_pace"),
+                )
+        raise KeyError(name)
+
+
 def build(
     spark: SparkSession, src: str, tables: Tables, strict: bool = True, force: bool = False
 ) -> dict[str, int] | None:
     """Land, clean, join and check; the rows landed, or None when already built.
 
-    Staging stays a layer of views. The funnel, hire pace and first fills are
-    stored once because several marts read them. With ``strict`` a failed check
-    stops the build before anything that depends on the table is written.
+    With ``strict`` a failed check stops the build before anything that depends
+    on the table is written.
     """
     if not force and tables.is_built("marts", FEATURE_MART):
         return None
     landed = land_raw(spark, src, tables)
-    house = Warehouse(spark, _raw(tables))
+    house = Warehouse(spark, _raw(tables), tables)
     for name, df in house.staged().items():
         tables.view(df, name)
     if strict:
         gate(run_suite(house.staged(), STAGING_CHECKS))
-    store(house, tables, "intermediate", INTERMEDIATE)
-    tables.view(house.table("int_offer_outcomes"), "int_offer_outcomes")
-    stars = {name: key for name, key in MARTS.items() if name != FEATURE_MART}
-    store(house, tables, "marts", stars)
+    for name in INTERMEDIATE:
+        house.store(name)
+    tables.view(house.plan("int_offer_outcomes"), "int_offer_outcomes")
+    for name in MARTS:
+        if name != FEATURE_MART:
+            house.store(name)
     if strict:
         gate(run_suite(house.marts(), [*MART_CHECKS, *OWN_CHECKS]))
         gate(run_suite(house.marts(), MART_EXPECTATIONS))
-    store(house, tables, "marts", {FEATURE_MART: MARTS[FEATURE_MART]})
+    house.store(FEATURE_MART)
     if strict:
         gate(run_suite(house.marts(), FEATURE_CHECKS))
     return landed
 
 
-def store(house: Warehouse, tables: Tables, layer: str, names: dict[str, str]) -> None:
-    """Write tables of a layer; plans made from ``house`` afterwards read the files."""
-    for name, key in names.items():
-        bucket_by = (key,) if name in _BUCKETED else ()
-        house.stored[name] = tables.write(house.table(name), layer, name, bucket_by)
-
-
 def open_warehouse(spark: SparkSession, tables: Tables) -> Warehouse:
-    """The frames of a finished build, read from storage."""
-    stored = {name: tables.read("intermediate", name) for name in INTERMEDIATE}
-    stored.update({name: tables.read("marts", name) for name in MARTS})
-    return Warehouse(spark, _raw(tables), stored)
+    """A finished build, read from storage."""
+    house = Warehouse(spark, _raw(tables), tables)
+    house.stored.update({name: tables.read("intermediate", name) for name in INTERMEDIATE})
+    house.stored.update({name: tables.read("marts", name) for name in MARTS})
+    return house
 
 
 def _raw(tables: Tables) -> Frames:

@@ -1,11 +1,12 @@
 """Contract files, stored tables and the binding to the driver's tables."""
 
-from .contract import land_raw, read_contract_csv, require_inputs, row_counts, write_csv
+from .contract import land, land_raw, read_contract_csv, require_inputs, row_counts, write_csv
 from .tables import Frames, Tables, layer_name
 
 __all__ = [
     "Frames",
     "Tables",
+    "land",
     "land_raw",
     "layer_name",
     "read_contract_csv",

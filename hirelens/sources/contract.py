@@ -43,14 +43,14 @@ def require_inputs(spark: SparkSession, src: str) -> None:
 
 
 def land_raw(spark: SparkSession, src: str, tables: Tables) -> dict[str, int]:
-    """Reload the seven raw tables; rows per table and in total.
-
-    The counts come from the stored files' footers, not from a second CSV parse.
-    """
+    """Reload the seven raw tables from CSV; rows per table and in total."""
     require_inputs(spark, src)
-    counts = {
-        table: tables.write(read_contract_csv(spark, src, table), "raw", table).count() for table in CONTRACT
-    }
+    return land({table: read_contract_csv(spark, src, table) for table in CONTRACT}, tables)
+
+
+def land(frames: Mapping[str, DataFrame], tables: Tables) -> dict[str, int]:
+    """Write raw tables and count them from the stored files' footers."""
+    counts = {name: tables.write(df, "raw", name).count() for name, df in frames.items()}
     return {**counts, "total": sum(counts.values())}
 
 
