@@ -2,8 +2,10 @@
 
 A result row is (table_name, check_name, column_name, evaluated, unexpected,
 passed). Checks that look at one row at a time fuse into a single aggregate per
-table, whatever their number. Uniqueness and relationships first count rows per
-key, with map-side combine, so a hot key costs one row per map task.
+table, whatever their number. All uniqueness and relationship checks of a suite
+share one more pass: every table is read once for all its key columns, and rows
+are counted per (check, key) with map-side combine, so a hot key costs one row
+per map task. Parents join that count as marked keys; there is no join.
 
 Null rule: every check but ``not_null`` passes over nulls.
 """
@@ -14,12 +16,18 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 RESULT = ("table_name", "check_name", "column_name", "evaluated", "unexpected", "passed")
 
 
+def _literal(value: str | int) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
+
 @dataclass(frozen=True)
 class Check:
     table: str
@@ -36,31 +44,37 @@ class Check:
     def fuses(self) -> bool:
         return self.kind not in ("unique", "relationship")
 
-    def counts(self) -> tuple[Column, Column]:
-        """Aggregates (evaluated, unexpected) of a check that fuses."""
-        c = F.expr(self.condition) if self.condition else F.col(self.column)
-        if self.kind == "not_null":
-            return F.count(F.lit(1)), F.count_if(c.isNull())
-        if self.kind == "accepted_values":
-            return F.count(c), F.count_if(~c.isin(*self.values))
-        if self.kind == "between":
-            return F.count(c), F.count_if(~c.between(self.low, self.high))
-        if self.kind == "expression_true":
-            return F.count(c), F.count_if(~c)
-        if self.kind == "implies":
-            then = F.expr(self.values[0])
-            return F.count_if(c), F.count_if(c & ~then.eqNullSafe(F.lit(True)))
-        if self.kind == "row_count":
-            return F.count(F.lit(1)), F.abs(F.count(F.lit(1)) - F.lit(self.values[0]))
+    def counts(self) -> tuple[str, str]:
+        """SQL aggregates (evaluated, unexpected) of a check that fuses."""
+        c = f"({self.condition or self.column})"
+        match self.kind:
+            case "not_null":
+                return "count(1)", f"count_if({c} is null)"
+            case "accepted_values":
+                return f"count({c})", f"count_if({c} not in ({', '.join(map(_literal, self.values))}))"
+            case "between":
+                return f"count({c})", f"count_if({c} not between {self.low} and {self.high})"
+            case "expression_true":
+                return f"count({c})", f"count_if(not {c})"
+            case "implies":
+                return f"count_if({c})", f"count_if({c} and not (({self.values[0]}) <=> true))"
+            case "row_count":
+                return "count(1)", f"abs(count(1) - {self.values[0]})"
         raise ValueError(f"unknown check {self.kind}")
 
-    def result(self, evaluated: Column, unexpected: Column) -> list[Column]:
-        evaluated = F.coalesce(evaluated, F.lit(0)).cast("long")
-        unexpected = F.coalesce(unexpected, F.lit(0)).cast("long")
-        allowed = evaluated.cast("decimal(20,0)") * F.lit(str(round(1 - self.mostly, 6))).cast("decimal(8,6)")
-        passed = unexpected == 0 if self.mostly == 1.0 else unexpected <= allowed
-        fields = (F.lit(self.table), F.lit(self.kind), F.lit(self.column), evaluated, unexpected, passed)
-        return [field.alias(name) for field, name in zip(fields, RESULT)]
+    def result(self, evaluated: str, unexpected: str) -> str:
+        """SQL struct of a result row, from the two counts."""
+        evaluated, unexpected = f"coalesce({evaluated}, 0L)", f"coalesce({unexpected}, 0L)"
+        allowed = f"{evaluated} * {round(1 - self.mostly, 6)}BD"
+        fields = [
+            _literal(self.table),
+            _literal(self.kind),
+            _literal(self.column),
+            evaluated,
+            unexpected,
+            f"{unexpected} <= {allowed}",
+        ]
+        return "struct(" + ", ".join(f"{field} as {name}" for field, name in zip(fields, RESULT)) + ")"
 
 
 def not_null(table: str, column: str) -> Check:
@@ -97,56 +111,69 @@ def relationship(table: str, column: str, parent: str, parent_column: str) -> Ch
     return Check(table, "relationship", column, parent=(parent, parent_column))
 
 
-def _rows_per_key(df: DataFrame, column: str) -> DataFrame:
-    keys = df.select(F.col(column).alias("_key")).filter(F.col("_key").isNotNull())
-    return keys.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"))
-
-
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Keys of ``child`` that ``parent`` lacks, with the rows that carry each."""
-    known = parent.select(F.col(parent_column).alias("_key"))
-    return _rows_per_key(child, column).join(known, "_key", "left_anti").select(
-        F.col("_key").alias(column), F.col("_rows").alias("row_count")
-    )
+    keys = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
+    return keys.join(parent.select(F.col(parent_column).alias(column)), column, "left_anti")
 
 
 def _fused(df: DataFrame, checks: list[Check]) -> DataFrame:
     """All row-wise checks of one table: one scan, one aggregate, one row per check."""
-    rows = [F.struct(*check.result(F.col(f"e{i}"), F.col(f"u{i}"))) for i, check in enumerate(checks)]
-    counts = []
+    counts, rows = [], []
     for i, check in enumerate(checks):
         evaluated, unexpected = check.counts()
-        counts += [evaluated.alias(f"e{i}"), unexpected.alias(f"u{i}")]
-    return df.agg(*counts).select(F.inline(F.array(*rows)))
-
-
-def _unique(df: DataFrame, check: Check) -> DataFrame:
-    repeated = F.sum(F.when(F.col("_rows") > 1, F.col("_rows")))
-    return _rows_per_key(df, check.column).agg(F.sum("_rows").alias("e"), repeated.alias("u")).select(
-        *check.result(F.col("e"), F.col("u"))
+        counts += [F.expr(evaluated).alias(f"e{i}"), F.expr(unexpected).alias(f"u{i}")]
+        rows.append(check.result(f"e{i}", f"u{i}"))
+    return df.agg(*counts).selectExpr(f"inline(array({', '.join(rows)}))")
+
+
+def _key_rows(df: DataFrame, columns: list[tuple[int, str]], rows: int, known: bool) -> DataFrame:
+    """(check, key, rows, known) for the key columns of one table, in one scan."""
+    keys = ", ".join(f"struct({i} as check, string({c}) as key)" for i, c in columns)
+    return (
+        df.selectExpr(f"inline(array({keys}))")
+        .filter("key is not null")
+        .selectExpr("check", "key", f"{rows}L as rows", f"{str(known).lower()} as known")
     )
 
 
-def _relationship(df: DataFrame, check: Check, parent: DataFrame) -> DataFrame:
-    known = parent.select(F.col(check.parent[1]).alias("_key")).distinct().withColumn("_known", F.lit(True))
-    joined = _rows_per_key(df, check.column).join(known, "_key", "left")
-    unknown = F.sum(F.when(F.col("_known").isNull(), F.col("_rows")))
-    return joined.agg(F.sum("_rows").alias("e"), unknown.alias("u")).select(
-        *check.result(F.col("e"), F.col("u"))
+def _keyed(frames: Mapping[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """All uniqueness and relationship checks, whatever their tables."""
+    children: dict[str, list[tuple[int, str]]] = {}
+    parents: dict[str, list[tuple[int, str]]] = {}
+    for i, check in enumerate(checks):
+        children.setdefault(check.table, []).append((i, check.column))
+        if check.parent:
+            parents.setdefault(check.parent[0], []).append((i, check.parent[1]))
+    spark = frames[checks[0].table].sparkSession
+    # one empty row per check, so that a check of an empty table still reports
+    parts = [spark.range(len(checks)).selectExpr("int(id) check", "string(null) key", "0L rows", "true known")]
+    parts += [_key_rows(frames[table], columns, 1, False) for table, columns in children.items()]
+    parts += [_key_rows(frames[table], columns, 0, True) for table, columns in parents.items()]
+    per_key = (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("check", "key")
+        .agg(F.sum("rows").alias("rows"), F.bool_or("known").alias("known"))
+    )
+    counts = per_key.groupBy("check").agg(
+        F.sum("rows").alias("evaluated"),
+        F.expr("sum(rows) filter (where rows > 1)").alias("repeated"),
+        F.expr("sum(rows) filter (where not known)").alias("orphaned"),
     )
+    results = [
+        check.result("evaluated", "repeated" if check.kind == "unique" else "orphaned") for check in checks
+    ]
+    return counts.selectExpr(f"element_at(array({', '.join(results)}), check + 1) as r").select("r.*")
 
 
 def run_suite(frames: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Result rows of ``checks``; ``frames`` holds every table they name."""
-    parts = []
-    for table in dict.fromkeys(check.table for check in checks):
-        mine = [check for check in checks if check.table == table]
-        fusing = [check for check in mine if check.fuses]
-        if fusing:
-            parts.append(_fused(frames[table], fusing))
-        for check in mine:
-            if check.kind == "unique":
-                parts.append(_unique(frames[table], check))
-            elif check.kind == "relationship":
-                parts.append(_relationship(frames[table], check, frames[check.parent[0]]))
+    fusing: dict[str, list[Check]] = {}
+    for check in checks:
+        if check.fuses:
+            fusing.setdefault(check.table, []).append(check)
+    parts = [_fused(frames[table], mine) for table, mine in fusing.items()]
+    keyed = [check for check in checks if not check.fuses]
+    if keyed:
+        parts.append(_keyed(frames, keyed))
     return reduce(DataFrame.unionByName, parts)
