@@ -25,16 +25,16 @@ def auc_from_counts(counts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     each bucket is summed by itself, and only the bucket totals are ordered
     across the whole range. Bucket bounds shape the work, never the result.
     """
-    group = list(by) or ["_all"]
-    if not by:
-        counts = counts.withColumn("_all", F.lit(0))
     quantiles = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
-    # one array of fixed length per group
-    bounds = counts.groupBy(*group).agg(
-        F.array_distinct(F.percentile_approx("score", quantiles, F.lit(10 * BUCKETS))).alias("bounds")
-    )
-    bucket = F.size(F.filter("bounds", lambda b: b < F.col("score")))
-    located = counts.join(F.broadcast(bounds), group).withColumn("bucket", bucket)
+    bounds = F.array_distinct(F.percentile_approx("score", quantiles, F.lit(10 * BUCKETS))).alias("bounds")
+    if by:
+        group = list(by)
+        # one array of fixed length per group
+        bounded = counts.join(F.broadcast(counts.groupBy(*group).agg(bounds)), group)
+    else:
+        group = ["_all"]
+        bounded = counts.withColumns({"_all": F.lit(0), "bounds": counts.agg(bounds).scalar()})
+    located = bounded.withColumn("bucket", F.size(F.filter("bounds", lambda b: b < F.col("score"))))
     within = Window.partitionBy(*group, "bucket").orderBy("score")
     below = F.sum("neg").over(within.rowsBetween(Window.unboundedPreceding, -1))
     wins = F.col("pos").cast("decimal(20,0)") * (F.coalesce(below, F.lit(0)) * 2 + F.col("neg")).cast("decimal(18,0)")
