@@ -53,7 +53,7 @@ def permutation_importance(
     """(feature, mean, sd) of the AUC lost when a raw column is shuffled.
 
     ``score`` adds a ``score`` column to model inputs. The counts per distinct
-    score are checkpointed because the AUC reads them twice.
+    score are stored because the AUC reads them twice.
     """
     variants = score(shuffled_variants(test, spec, rows, repeats, seed))
     by = ("repeat", "feature")

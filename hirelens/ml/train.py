@@ -94,7 +94,7 @@ def _fit(train: DataFrame, spec: ModelSpec, kind: str, counts: dict[float, int],
 def train(features: DataFrame, spec: ModelSpec, config: TrainConfig | None = None) -> TrainResult:
     """Fit the linear and the tree model, keep the one with the higher test AUC.
 
-    The labelled inputs are checkpointed once: both fits pass over them many
+    The labelled inputs are stored once: both fits pass over them many
     times, and a lost executor must not recompute the feature mart.
     """
     config = config or TrainConfig()

@@ -13,28 +13,28 @@ _FINE = 10  # digits kept before the gap is rounded
 def group_contrast(
     df: DataFrame,
     flag: Column,
-    hit: Column,
+    hits: Column,
     flagged: str,
     rest: str,
     scale: int = 1,
-    weight: Column | None = None,
+    rows: Column | None = None,
 ) -> DataFrame:
     """Two rows (grp, n, value, gap): percent of hits per group, gap in points.
 
-    One global aggregate of four counts; ``weight`` is the number of rows each
-    row stands for. A null flag belongs to neither group; an empty group has a
-    null value.
+    One global aggregate of four sums. ``hits`` is a condition, or the number of
+    hits among the ``rows`` a row stands for. A null flag belongs to neither
+    group; an empty group has a null value.
     """
+    one = F.lit(1) if rows is None else rows
 
-    def size(where: Column) -> Column:
-        one = F.lit(1).cast("long") if weight is None else weight
-        return F.coalesce(F.sum(F.when(where, one)), F.lit(0).cast("long"))
+    def total(where: Column, amount: Column) -> Column:
+        return F.coalesce(F.sum(F.when(where, amount.cast("long"))), F.lit(0).cast("long"))
 
     counts = df.agg(
-        size(flag).alias("n1"),
-        size(flag & hit).alias("h1"),
-        size(~flag).alias("n0"),
-        size(~flag & hit).alias("h0"),
+        total(flag, one).alias("n1"),
+        total(flag, hits).alias("h1"),
+        total(~flag, one).alias("n0"),
+        total(~flag, hits).alias("h0"),
     )
 
     def share(group: int, digits: int) -> Column:

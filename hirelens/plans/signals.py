@@ -14,12 +14,12 @@ from ..operators import group_contrast
 
 def signal_referral(fact_offers: DataFrame, dim_applicant: DataFrame) -> DataFrame:
     """Offers accepted: referred candidates against the rest."""
-    per_applicant = fact_offers.groupBy("applicant_key", "is_accepted").agg(F.count(F.lit(1)).alias("offers"))
-    joined = per_applicant.join(dim_applicant.select("applicant_key", "is_referral"), "applicant_key")
-    # at most four combinations remain before the contrast weighs them
-    counted = joined.groupBy("is_referral", "is_accepted").agg(F.sum("offers").alias("offers"))
+    per_applicant = fact_offers.groupBy("applicant_key").agg(
+        F.count(F.lit(1)).alias("offers"), F.count_if("is_accepted").alias("accepted")
+    )
+    known = per_applicant.join(dim_applicant.select("applicant_key", "is_referral"), "applicant_key")
     return group_contrast(
-        counted, F.col("is_referral"), F.col("is_accepted"), "referral", "non_referral", weight=F.col("offers")
+        known, F.col("is_referral"), F.col("accepted"), "referral", "non_referral", rows=F.col("offers")
     )
 
 

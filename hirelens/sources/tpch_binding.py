@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..domain import DATE_SPINE_START, DEPARTMENTS, EDUCATION, LOCATIONS, SENIORITY, SOURCES, STAGES
@@ -125,48 +125,60 @@ class Binding:
             },
         )
 
-    def _lines(self, *columns: str) -> DataFrame:
-        """Line items keyed by (l_orderkey, l_linenumber), with their order's ``part``.
+    def _lines(self, numbers: range, **columns: str) -> DataFrame:
+        """Line items numbered in ``numbers``, with their order's ``part``.
 
-        Dirty keeps repeated line items. The window runs over at most seven
-        line numbers per order.
+        Clean: one row per (l_orderkey, l_linenumber) with the smallest value of
+        each column. Line numbers are few and fixed, so one aggregate per order
+        holds them all, combined on the map side, and unfolds again.
         """
-        lines = self.driver["lineitem"]
-        key = ["l_orderkey", "l_linenumber"]
+        lines = self.driver["lineitem"].selectExpr(
+            "l_orderkey", "l_linenumber", "l_partkey", *[f"{c} as {name}" for name, c in columns.items()]
+        )
         if self.dirty:
             part = lines.groupBy("l_orderkey").agg(F.min("l_partkey").alias("part"))
-            return lines.select(*key, *columns).join(part, "l_orderkey")
-        keyed = lines.groupBy(*key).agg(F.min("l_partkey").alias("part"), *[F.min(c).alias(c) for c in columns])
-        return keyed.withColumn("part", F.min("part").over(Window.partitionBy("l_orderkey")))
+            return lines.filter(F.col("l_linenumber").isin(*numbers)).join(part, "l_orderkey")
+        smallest = [
+            F.expr(f"min({name}) filter (where l_linenumber = {n})").alias(f"{name}_{n}")
+            for n in numbers
+            for name in columns
+        ]
+        orders = lines.groupBy("l_orderkey").agg(F.min("l_partkey").alias("part"), *smallest)
+        unfolded = ", ".join(
+            f"struct({n} as l_linenumber, " + ", ".join(f"{name}_{n} as {name}" for name in columns) + ")"
+            for n in numbers
+        )
+        return orders.selectExpr("l_orderkey", "part", f"inline(array({unfolded}))").filter("quantity is not null")
 
     @property
     def stage_history(self) -> DataFrame:
         entered = f"date_add({_applied('l_orderkey')}, (l_linenumber - 1) * 4)"
         return _conform(
-            self._lines("l_quantity").filter("l_linenumber <= 5"),
+            self._lines(range(1, 6), quantity="int(l_quantity)"),
             "stage_history",
             {
                 "application_id": "concat('APN', l_orderkey)",
                 "stage_name": f"initcap({_pick(STAGES, 'l_linenumber - 1')})",
                 "entered_date": entered,
-                "exited_date": f"date_add({entered}, int(l_quantity))",
+                "exited_date": f"date_add({entered}, quantity)",
             },
         )
 
     @property
     def interviews(self) -> DataFrame:
         return _conform(
-            self._lines("l_quantity", "l_suppkey", "l_returnflag").filter("l_linenumber between 3 and 5"),
+            # a number for the one-letter flag keeps the aggregate a hash aggregate
+            self._lines(range(3, 6), quantity="int(l_quantity)", supplier="l_suppkey", flag="ascii(l_returnflag)"),
             "interviews",
             {
                 "interview_id": "concat_ws('-', 'INT', l_orderkey, l_linenumber)",
                 "application_id": "concat('APN', l_orderkey)",
                 "interview_round": "l_linenumber - 2",
-                "interviewer_id": "concat('IVR', l_suppkey)",
+                "interviewer_id": "concat('IVR', supplier)",
                 "scheduled_date": f"date_add({_applied('l_orderkey')}, (l_linenumber - 1) * 4)",
-                "completed_flag": "l_returnflag <> 'R'",
-                "feedback_score": "1 + int(l_quantity) % 5",
-                "feedback_text": f"concat(' ', {_pick(FEEDBACK, 'int(l_quantity) % 5')})",
+                "completed_flag": "flag <> ascii('R')",
+                "feedback_score": "1 + quantity % 5",
+                "feedback_text": f"concat(' ', {_pick(FEEDBACK, 'quantity % 5')})",
             },
         )
 

@@ -47,3 +47,44 @@ def test_hot_keys_combine_before_they_move(unbroadcast):
     for name in ("max_round_gap", "lifetime_load", "req_first_fill"):
         plan = physical(QUERIES[name](unbroadcast, SF))
         assert "partial_" in plan
+
+
+def test_hot_join_key_is_split_at_run_time(spark):
+    """A third of all applications on one requisition: AQE splits that partition."""
+    from pyspark.sql import functions as F
+
+    from hirelens.plans.facts import fact_offers
+
+    apps = spark.range(60000).select(
+        F.concat(F.lit("A"), "id").alias("application_id"),
+        F.concat(F.lit("P"), F.col("id") % 999).alias("applicant_id"),
+        F.when(F.col("id") % 3 == 0, "R1").otherwise(F.concat(F.lit("R"), F.col("id") % 1000)).alias("req_id"),
+    )
+    reqs = spark.range(1000).select(F.concat(F.lit("R"), "id").alias("req_id"), F.lit("C1").alias("recruiter_id"))
+    outcomes = apps.select(
+        F.concat(F.lit("O"), "application_id").alias("offer_id"),
+        "application_id",
+        F.lit("2024-01-01").cast("date").alias("offer_date"),
+        F.sha2("application_id", 512).alias("decision"),
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        facts = fact_offers(outcomes, apps, reqs)
+        assert facts.count() == 60000
+        stored = facts.select("offer_id", "recruiter_key", "decision")
+        stored.collect()
+        assert "skew=true" in physical(stored)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
