@@ -17,10 +17,11 @@ def days_between(end: Column | str, start: Column | str) -> Column:
 def exact_avg(c: Column | str, scale: int) -> Column:
     """Aggregate: mean of an integer column, rounded once.
 
-    The wide input scale leaves twelve digits before the final rounding; a
-    narrow decimal would round twice.
+    Rows add up as longs; one decimal division per group carries eighteen digits
+    into the only rounding.
     """
-    return F.round(F.avg(_col(c).cast("decimal(20,8)")), scale)
+    c = _col(c).cast("long")
+    return F.round(F.try_divide(F.sum(c).cast("decimal(20,0)"), F.count(c).cast("decimal(20,0)")), scale)
 
 
 def percent(part: Column, whole: Column, scale: int = 2) -> Column:

@@ -12,6 +12,7 @@ from .spec import ModelSpec
 
 LINEAR = "logistic_regression"
 TREES = "boosted_trees"
+EARLY_STOP_TOLERANCE = 1e-7
 
 
 def missing_flags(df: DataFrame, spec: ModelSpec) -> DataFrame:
@@ -88,6 +89,8 @@ def make_pipeline(
         maxDepth=5,
         maxBins=255,
         minInstancesPerNode=20,
+        # stop at the first round that does not improve; the default stops below 1 % gain
+        validationTol=EARLY_STOP_TOLERANCE,
         weightCol="weight",
         seed=seed,
     )
