@@ -17,7 +17,8 @@ from hirelens.ml.split import stratified_split
 from hirelens.ml.train import TrainConfig, TrainResult, importance_view, metrics_frame, train
 from hirelens.plans import dims, features, kpi, signals
 from hirelens.plans.intermediate import req_first_fill, with_drop_flags
-from hirelens.plans.pipeline import Warehouse
+from hirelens.plans.staging import stg_offers
+from hirelens.plans.warehouse import Warehouse
 from hirelens.quality import (
     FEATURE_CHECKS,
     MART_CHECKS,
@@ -42,7 +43,7 @@ from hirelens.scoring import (
     score_open_requisitions,
 )
 from hirelens.session import configure, shared_dir
-from hirelens.sources import Frames, Tables, row_counts
+from hirelens.sources import Frames, Tables, read_contract_csv, row_counts, write_csv
 from hirelens.sources.tpch_binding import Binding
 from oracle import oracle_sql as _oracle_sql
 
@@ -193,6 +194,13 @@ def _dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _csv_round_trip(h: Warehouse) -> DataFrame:
+    """Offers written as CSV, read back by position and staged."""
+    folder = h.tables.location("csv", "contract")
+    write_csv(h.raw["offers"], f"{folder}/offers.csv")
+    return stg_offers(read_contract_csv(h.spark, folder, "offers"))
+
+
 # ---- rules and metrics over a fixed score -------------------------------------
 
 
@@ -357,6 +365,7 @@ def queries() -> dict[str, Query]:
         "signal_report": _on(_signal_report),
         "first_touch": _on(_first_touch),
         "outcome_counts": _on(lambda h: kpi.outcome_counts(h.stg["applications"])),
+        "csv_round_trip": _on(_csv_round_trip),
         "row_counts": _on(lambda h: row_counts(h.raw)),
         "dq_staging": _on(lambda h: run_suite(h.staged(), STAGING_CHECKS)),
         "dq_marts_declared": _suite([*MART_CHECKS, *OWN_CHECKS]),

@@ -103,7 +103,7 @@ def kpi_view(kpis: DataFrame) -> DataFrame:
 
 
 def outcome_counts(apps: DataFrame) -> DataFrame:
-    """Applications per raw outcome, most frequent first."""
+    """Applications per outcome, most frequent first."""
     return (
         apps.groupBy("final_outcome")
         .agg(_rows().alias("application_count"))

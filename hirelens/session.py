@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime SQL settings. Sizes (shuffle partitions, broadcast threshold, split
-# sizes) are left to the cluster: AQE coalesces or splits at run time.
+# Runtime SQL settings. The broadcast threshold and split sizes are left to the cluster.
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even where that costs one more exchange after the join
@@ -18,10 +19,23 @@ SQL_SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings every plan in this package expects."""
+PARTITION_BYTES = 256 << 20
+MAX_PARTITIONS = 50_000  # beyond this, tracking map x reduce blocks costs more than larger partitions
+
+
+def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Apply the runtime SQL settings every plan in this package expects.
+
+    AQE merges small shuffle partitions and splits skewed ones, but it never
+    raises their number. Pass the size of the largest shuffle, and shuffles start
+    with partitions of about 256 MB, no fewer than the session's setting.
+    """
     for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)
+    if shuffle_bytes:
+        wanted = min(math.ceil(shuffle_bytes / PARTITION_BYTES), MAX_PARTITIONS)
+        partitions = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
     return spark
 
 

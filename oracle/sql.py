@@ -303,6 +303,7 @@ FROM stg_applicants a LEFT JOIN stg_applications p USING (applicant_id) GROUP BY
         "GROUP BY ALL", "GROUP BY applicant_id, source, resume_years_experience, education_level, is_referral, a.applied_date"
     ),
     "outcome_counts": "SELECT final_outcome, count(*) AS application_count FROM stg_applications GROUP BY 1",
+    "csv_round_trip": "SELECT * FROM stg_offers",
     "row_counts": ROW_COUNTS,
     "dq_staging": "\nUNION ALL ".join(check_rows(STAGING)),
     "dq_marts_declared": "\nUNION ALL ".join(check_rows(DECLARED)),

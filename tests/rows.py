@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date as D
 from decimal import Decimal
 
-from hirelens.plans.pipeline import Warehouse
+from hirelens.plans.warehouse import Warehouse
 from hirelens.schemas import CONTRACT
 
 ROWS = {

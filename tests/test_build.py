@@ -7,7 +7,7 @@ import pytest
 
 from hirelens.ml.spec import MODELS
 from hirelens.plans.kpi import kpi_summary, kpi_view
-from hirelens.plans.pipeline import MARTS, build, open_warehouse
+from hirelens.plans.warehouse import MARTS, build, open_warehouse
 from hirelens.quality import QualityGateError
 from hirelens.schemas import CONTRACT
 from hirelens.sources import Tables, layer_name, read_contract_csv, row_counts, write_csv

@@ -49,6 +49,21 @@ def test_hot_keys_combine_before_they_move(unbroadcast):
         assert "partial_" in plan
 
 
+def test_shuffles_start_with_partitions_for_the_input(spark):
+    from hirelens.session import configure
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        configure(spark, shuffle_bytes=10**12)
+        assert spark.conf.get(key) == "3726"
+        configure(spark, shuffle_bytes=100 * 10**12)
+        assert spark.conf.get(key) == "50000"
+        configure(spark, shuffle_bytes=1)
+        assert spark.conf.get(key) == spark.conf.get("spark.sql.shuffle.partitions")
+    finally:
+        spark.conf.unset(key)
+
+
 def test_hot_join_key_is_split_at_run_time(spark):
     """A third of all applications on one requisition: AQE splits that partition."""
     from pyspark.sql import functions as F

@@ -24,7 +24,7 @@ from hirelens.quality import (
     summarise,
     unique,
 )
-from hirelens.plans.pipeline import Warehouse
+from hirelens.plans.warehouse import Warehouse
 from hirelens.sources.tpch_binding import Binding
 
 SF = "/root/testdata/sf0.001"
