@@ -33,6 +33,7 @@ from hirelens.quality import (
 from hirelens.schemas import CONTRACT
 from hirelens.scoring import (
     at_risk_view,
+    missing_ids,
     open_requisitions,
     rank_at_risk,
     recommend_dropout,
@@ -279,6 +280,12 @@ def _split_counts(h: Warehouse) -> DataFrame:
     )
 
 
+def _missing_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applications asked for that have no features: those without a requisition."""
+    asked = _house(spark, sf_dir, dirty=True).stg["applications"].select("application_id")
+    return missing_ids(asked, _house(spark, sf_dir).table("mart_ml_features"), "application_id")
+
+
 # ---- models --------------------------------------------------------------------
 
 _trained: dict[tuple[str, str, str], TrainResult] = {}
@@ -378,6 +385,7 @@ def queries() -> dict[str, Query]:
         "recommend_dropout": _on(_recommend_dropout),
         "recommend_offer": _on(_recommend_offer),
         "at_risk_topk": _on(_at_risk),
+        "missing_ids": _missing_ids,
         "auc_exact": _on(lambda h: roc_auc(_scored_labels(h), "label", "score")),
         "classification_report": _on(_classification),
         "class_weights": _on(_class_weights),

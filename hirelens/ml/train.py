@@ -150,6 +150,14 @@ def importance_view(importance: DataFrame, top: int = 5) -> DataFrame:
     )
 
 
+def save_report(spark: SparkSession, result: TrainResult, importance: DataFrame, root: str) -> None:
+    """Metrics and described importances as two tables next to the model."""
+    path = f"{root.rstrip('/')}/{result.model.spec.name}"
+    metrics_frame(spark, result).coalesce(1).write.mode("overwrite").parquet(f"{path}/metrics")
+    features = len(result.model.spec.features)
+    importance_view(importance, features).write.mode("overwrite").parquet(f"{path}/importance")
+
+
 def save(model: TrainedModel, root: str) -> None:
     """Write the fitted pipeline and a one-row description next to it."""
     path, spec = f"{root.rstrip('/')}/{model.spec.name}", model.spec

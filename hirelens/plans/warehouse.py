@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..quality import FEATURE_CHECKS, MART_CHECKS, MART_EXPECTATIONS, OWN_CHECKS, STAGING_CHECKS, gate, run_suite
 from ..schemas import CONTRACT
-from ..sources import Frames, Tables, land_raw
+from ..sources import Frames, Tables, at_once, land_raw
 from . import dims, facts, features, intermediate
 from .staging import stage_all
 
@@ -129,12 +129,10 @@ def build(
         tables.view(df, name)
     if strict:
         gate(run_suite(house.staged(), STAGING_CHECKS))
-    for name in INTERMEDIATE:
-        house.store(name)
+    at_once(house.store, ("int_application_funnel", "int_hire_pace"))
+    house.store("int_req_windows")
     tables.view(house.plan("int_offer_outcomes"), "int_offer_outcomes")
-    for name in MARTS:
-        if name != FEATURE_MART:
-            house.store(name)
+    at_once(house.store, [name for name in MARTS if name != FEATURE_MART])
     if strict:
         gate(run_suite(house.marts(), [*MART_CHECKS, *OWN_CHECKS]))
         gate(run_suite(house.marts(), MART_EXPECTATIONS))

@@ -1,11 +1,12 @@
 """Contract files, stored tables and the binding to the driver's tables."""
 
 from .contract import land, land_raw, read_contract_csv, require_inputs, row_counts, write_csv
-from .tables import Frames, Tables, layer_name
+from .tables import Frames, Tables, at_once, layer_name
 
 __all__ = [
     "Frames",
     "Tables",
+    "at_once",
     "land",
     "land_raw",
     "layer_name",

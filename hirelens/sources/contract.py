@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import CONTRACT
-from .tables import Tables
+from .tables import Tables, at_once
 
 
 def _path(src: str, table: str) -> str:
@@ -50,7 +50,7 @@ def land_raw(spark: SparkSession, src: str, tables: Tables) -> dict[str, int]:
 
 def land(frames: Mapping[str, DataFrame], tables: Tables) -> dict[str, int]:
     """Write raw tables and count them from the stored files' footers."""
-    counts = {name: tables.write(df, "raw", name).count() for name, df in frames.items()}
+    counts = at_once(lambda name: tables.write(frames[name], "raw", name).count(), frames)
     return {**counts, "total": sum(counts.values())}
 
 

@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import TypeVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
+T = TypeVar("T")
+WRITERS = 4
+
+
+def at_once(work: Callable[[str], T], names: Iterable[str], writers: int = WRITERS) -> dict[str, T]:
+    """``work`` for every name, a few Spark jobs at a time; the first error is raised.
+
+    Independent tables share the cluster, so the tail of one write does not idle it.
+    """
+    names = tuple(names)
+    with ThreadPoolExecutor(writers) as pool:
+        return dict(zip(names, pool.map(work, names)))
+
+
 def layer_name(custom: str | None, default: str) -> str:
     """A layer's own name verbatim when it has one, else the target's default."""
     return custom.strip() if custom else default

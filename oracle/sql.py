@@ -318,6 +318,7 @@ FROM stg_applicants a LEFT JOIN stg_applications p USING (applicant_id) GROUP BY
     "recommend_dropout": RECOMMEND_DROPOUT,
     "recommend_offer": RECOMMEND_OFFER,
     "at_risk_topk": AT_RISK,
+    "missing_ids": "SELECT application_id FROM dirty_stg_applications WHERE req_id IS NULL",
     "auc_exact": AUC,
     "classification_report": REPORT,
     "class_weights": """

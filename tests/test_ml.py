@@ -12,7 +12,7 @@ from hirelens.ml.metrics import classification_report, roc_auc
 from hirelens.ml.prep import class_weights
 from hirelens.ml.spec import DROP_OFF, MODELS, OFFER_DECLINE, TIME_TO_FILL, LeakageError
 from hirelens.ml.split import stratified_split
-from hirelens.ml.train import TrainConfig, importance_view, load, load_models, metrics_frame, save, train
+from hirelens.ml.train import TrainConfig, importance_view, load, load_models, metrics_frame, save, save_report, train
 
 FAST = TrainConfig(max_iter=50, rounds=5, repeats=2)
 
@@ -106,7 +106,7 @@ def trained(planted):
     return train(planted, OFFER_DECLINE, FAST)
 
 
-def test_training_finds_the_planted_signal(spark, trained):
+def test_training_finds_the_planted_signal(spark, trained, tmp_path):
     assert max(m["auc"] for m in trained.metrics.values()) > 0.85
     assert trained.rows["test"] == pytest.approx(750, abs=3)
     best = max(m["auc"] for m in trained.metrics.values())
@@ -116,7 +116,11 @@ def test_training_finds_the_planted_signal(spark, trained):
     assert len(top) == 5 and top[0].feature == "offer_to_band_ratio" and top[0]["mean"] > 0.2
     assert top[0].description == "offer relative to the band midpoint"
     assert trained.sample_predictions().count() == 4
-    report = metrics_frame(spark, trained)
+    save_report(spark, trained, ranked, str(tmp_path))
+    stored = spark.read.parquet(f"{tmp_path}/{OFFER_DECLINE.name}/importance")
+    assert stored.count() == 8
+    report = spark.read.parquet(f"{tmp_path}/{OFFER_DECLINE.name}/metrics")
+    assert sorted(report.collect()) == sorted(metrics_frame(spark, trained).collect())
     assert report.filter("section = 'selected'").count() == 1
 
 
