@@ -26,8 +26,8 @@ def auc_from_counts(counts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     across the whole range. Bucket bounds shape the work, never the result.
     ``by`` must name few groups, since their bounds are broadcast.
     """
-    quantiles = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
-    bounds = F.array_distinct(F.percentile_approx("score", quantiles, F.lit(10 * BUCKETS))).alias("bounds")
+    quantiles = ", ".join(f"{i / BUCKETS}D" for i in range(1, BUCKETS))
+    bounds = F.expr(f"array_distinct(percentile_approx(score, array({quantiles}), {10 * BUCKETS}))").alias("bounds")
     if by:
         group = list(by)
         # 199 numbers per group; groups are models, or features times repeats
