@@ -48,6 +48,12 @@ from hirelens.sources import Frames, Tables, read_contract_csv, row_counts, writ
 from hirelens.sources.tpch_binding import Binding
 from oracle import oracle_sql as _oracle_sql
 
+try:  # the training-data operators may be left out of an installation
+    import corpus_pipeline
+    from hirelens.llm import queries as _llm
+except ImportError:
+    _llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = datetime.date(2025, 3, 1)
@@ -395,8 +401,9 @@ def queries() -> dict[str, Query]:
         "score_requisitions": _score_requisitions,
         "score_applications": _score_applications,
         "score_offers": _score_offers,
+        **(_llm.queries() | {"pipeline": corpus_pipeline.run} if _llm else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracle_sql()
+    return _oracle_sql() | (_llm.oracle_sql() if _llm else {})
