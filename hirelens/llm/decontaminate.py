@@ -29,7 +29,7 @@ from .words import mixed, ngrams
 SIMILARITY = 0.8  # an item of m words leaks if a passage is within floor(m * (1 - 0.8)) word edits
 WALKS = 6
 TABLES = 12  # samples of each walk
-SAMPLE = 3  # places of each sample
+SAMPLE = 6  # places of each sample
 RUN = 3
 MAX_BLOCK_WORDS = 2_000_000
 _PAD = np.uint64(0x5BD1E995)
@@ -43,35 +43,36 @@ def run_length(m: int, e: int) -> int:
     return max(1, min(RUN, math.ceil((m - e) / (e + 1))))
 
 
-def embed(windows: np.ndarray, walk: int) -> np.ndarray:
-    """CGK outputs of equally long sequences, one row each, three times as long."""
-    n, m = windows.shape
+def embed(windows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """CGK outputs, (windows, walks, 3 x longest); of a window of m words the first 3m places count."""
+    n, longest = windows.shape
     padded = np.concatenate([windows, np.full((n, 1), _PAD)], axis=1)
-    at, rows = np.zeros(n, np.int64), np.arange(n)
-    out = np.empty((n, 3 * m), np.uint64)
-    salt = mixed(np.arange(3 * m, dtype=np.uint64) + np.uint64(1_000_003 * (walk + 1)))
-    for j in range(3 * m):
+    padded[np.arange(longest + 1) >= sizes[:, None]] = _PAD
+    rows, limit = np.repeat(np.arange(n), WALKS), np.repeat(sizes, WALKS)
+    at = np.zeros(n * WALKS, np.int64)
+    out = np.empty((n * WALKS, 3 * longest), np.uint64)
+    walk = np.tile(np.arange(1, WALKS + 1, dtype=np.uint64), n) * np.uint64(1_000_003)
+    for j in range(3 * longest):
         symbol = padded[rows, at]
         out[:, j] = symbol
-        at = np.minimum(at + (mixed(symbol ^ salt[j]) >> np.uint64(63)).astype(np.int64), m)
-    return out
+        move = mixed(symbol ^ mixed(walk + np.uint64(j))) >> np.uint64(63)
+        at = np.minimum(at + move.astype(np.int64), limit)
+    return out.reshape(n, WALKS, 3 * longest)
 
 
-def signatures(windows: np.ndarray) -> np.ndarray:
+_SPOTS = np.random.Generator(np.random.PCG64(23)).random((WALKS, TABLES, SAMPLE))
+
+
+def signatures(windows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """One 64-bit key per window and table; the window's size and the table are part of it."""
-    n, m = windows.shape
-    keys = np.empty((n, WALKS * TABLES), np.uint64)
-    rng = np.random.Generator(np.random.PCG64(m))
-    for walk in range(WALKS):
-        out = embed(windows, walk)
-        for t in range(TABLES):
-            places = rng.integers(0, 3 * m, SAMPLE)
-            table = walk * TABLES + t
-            key = np.full(n, m * 1009 + table, np.uint64)
-            for p in places:
-                key = mixed(key ^ out[:, p])
-            keys[:, table] = key
-    return keys
+    out = embed(windows, sizes)
+    places = (_SPOTS[None] * (3 * sizes)[:, None, None, None]).astype(np.int64)
+    symbols = np.take_along_axis(out, places.reshape(len(windows), WALKS, -1), axis=2).reshape(places.shape)
+    table = np.arange(WALKS * TABLES, dtype=np.uint64).reshape(1, WALKS, TABLES)
+    key = sizes.astype(np.uint64)[:, None, None] * np.uint64(1009) + table
+    for k in range(SAMPLE):
+        key = mixed(key ^ symbols[..., k])
+    return key.reshape(len(windows), -1)
 
 
 def edit_distance(item: np.ndarray, passage: np.ndarray) -> int:
@@ -106,15 +107,19 @@ class Items:
             flat = np.concatenate(grams)
             order = np.argsort(flat, kind="stable")
             self.runs[q] = flat[order], np.concatenate(owner)[order], np.concatenate(offset)[order]
-        keys, owner = [], []
-        for m in sorted({int(x) for x in self.sizes if x}):
-            same = np.flatnonzero(self.sizes == m)
-            found = signatures(np.stack([self.words[i] for i in same]))
+        some = np.flatnonzero(self.sizes)
+        keys, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for lo in range(0, len(some), 1024):
+            part = some[lo : lo + 1024]
+            cells = np.zeros((len(part), int(self.sizes[part].max())), np.uint64)
+            for row, i in enumerate(part):
+                cells[row, : self.sizes[i]] = self.words[i]
+            found = signatures(cells, self.sizes[part])
             keys.append(found.ravel())
-            owner.append(np.repeat(same, found.shape[1]))
-        flat = np.concatenate([*keys, np.zeros(0, np.uint64)])
+            owner.append(np.repeat(part, found.shape[1]))
+        flat = np.concatenate(keys)
         order = np.argsort(flat, kind="stable")
-        self.keys, self.owner = flat[order], np.concatenate([*owner, np.zeros(0, np.int64)])[order]
+        self.keys, self.owner = flat[order], np.concatenate(owner)[order]
 
     def windows(self, hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Distinct (text, start, size) of windows that stand on a common run."""
@@ -140,34 +145,33 @@ class Items:
         windows = self.windows(hashes, bounds)
         best: dict[tuple[int, int], tuple[int, int]] = {}
         padded = np.concatenate([hashes, np.zeros(int(self.sizes.max(initial=0)) + 1, np.uint64)])
-        for m in np.unique(windows[:, 2]).tolist():
-            own = windows[windows[:, 2] == m]
-            for lo in range(0, len(own), 4096):
-                part = own[lo : lo + 4096]
-                place = part[:, 1][:, None] + np.arange(m)
-                cells = np.where(place < bounds[part[:, 0] + 1][:, None], padded[place], _PAD)
-                keys = signatures(cells)
-                at = np.searchsorted(self.keys, keys)
-                window, table = np.nonzero(self.keys[at.clip(max=len(self.keys) - 1)] == keys)
-                pairs = set()
-                for w, t in zip(window.tolist(), table.tolist()):
-                    k = at[w, t]
-                    while k < len(self.keys) and self.keys[k] == keys[w, t]:
-                        pairs.add((w, int(self.owner[k])))
-                        k += 1
-                e = edits(m, self.similarity)
-                for w, item in sorted(pairs):
-                    text, start = int(part[w, 0]), int(part[w, 1])
-                    known = best.get((text, item))
-                    if known and known[0] == 0:
-                        continue
-                    if np.array_equal(cells[w], self.words[item]):
-                        distance = 0
-                    else:
-                        around = hashes[max(bounds[text], start - e) : min(bounds[text + 1], start + m + e)]
-                        distance = edit_distance(self.words[item], around)
-                    if distance <= e and (known is None or distance < known[0]):
-                        best[text, item] = distance, start - int(bounds[text])
+        windows = windows[np.argsort(windows[:, 2], kind="stable")]  # like sizes together, for little padding
+        for lo in range(0, len(windows), 512):
+            part = windows[lo : lo + 512]
+            sizes = part[:, 2]
+            place = part[:, 1][:, None] + np.arange(int(sizes.max()))
+            cells = np.where(place < bounds[part[:, 0] + 1][:, None], padded[np.minimum(place, len(padded) - 1)], _PAD)
+            keys = signatures(cells, sizes)
+            at = np.searchsorted(self.keys, keys)
+            window, table = np.nonzero(self.keys[at.clip(max=len(self.keys) - 1)] == keys)
+            pairs = set()
+            for w, t in zip(window.tolist(), table.tolist()):
+                k = at[w, t]
+                while k < len(self.keys) and self.keys[k] == keys[w, t]:
+                    pairs.add((w, int(self.owner[k])))
+                    k += 1
+            for w, item in sorted(pairs):
+                text, start, m = (int(x) for x in part[w])
+                known, e = best.get((text, item)), edits(m, self.similarity)
+                if known and known[0] == 0:
+                    continue
+                if np.array_equal(cells[w, :m], self.words[item]):
+                    distance = 0
+                else:
+                    around = hashes[max(bounds[text], start - e) : min(bounds[text + 1], start + m + e)]
+                    distance = edit_distance(self.words[item], around)
+                if distance <= e and (known is None or distance < known[0]):
+                    best[text, item] = distance, start - int(bounds[text])
         for (text, item), (distance, place) in sorted(best.items()):
             yield text, item, distance, place
 
