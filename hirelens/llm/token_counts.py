@@ -27,8 +27,8 @@ from .words import _powers, mixed
 
 MARK = "▁"
 MARK_BYTES = MARK.encode()
-MEMO_WORDS = 300_000
-MAX_STATES = 250_000
+MEMO_WORDS = 2_000_000
+MAX_STATES = 200_000
 _BYTE = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 256, dtype=np.uint64)
 
 
@@ -80,27 +80,42 @@ def chunks(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     return data, starts, np.searchsorted(starts, bounds), hashes
 
 
+class Memo:
+    """Counts by chunk hash in sorted arrays, ten bytes a chunk; emptied beyond ``MEMO_WORDS``."""
+
+    def __init__(self) -> None:
+        self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """Counts of sorted keys, -1 for those not held."""
+        if not len(self.keys):
+            return np.full(len(keys), -1, np.int64)
+        at = np.searchsorted(self.keys, keys).clip(max=len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.counts[at], -1).astype(np.int64)
+
+    def put(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        if len(self.keys) > MEMO_WORDS:
+            self.__init__()
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.counts = np.insert(self.keys, at, keys), np.insert(self.counts, at, counts)
+
+
 class Transducer:
     """Characters in, changes of the token count out; compiled as states are reached."""
 
-    def __init__(self, pieces: dict[str, tuple[int, float]]):
+    def __init__(self, pieces: dict[str, tuple[int, float]], max_states: int = MAX_STATES):
         self.rank = {p: score for p, (_, score) in pieces.items()}
+        self.canon = {p: p for p in pieces}
         self.prefixes = {p[:i] for p in pieces for i in range(1, len(p) + 1)}
         ranked = sorted((p for p in pieces if len(p) > 1), key=lambda p: -self.rank[p])
         self.order = {p: 0 for p in pieces if len(p) == 1} | {p: i + 1 for i, p in enumerate(ranked)}
         self.splits: dict[str, tuple[str, str] | None] = {}
-        self._forget()
-
-    def _forget(self) -> None:
-        self.fits: dict[tuple[str, str], bool] = {}
-        self.states: list[tuple[str, tuple, tuple]] = [("", (None,), (0,))]
+        self.max_states = max_states
+        # a state: the suffix, then (length from boundary to end, last token before it, relative count) thrice
+        # for each boundary where a piece may be under way, the end itself first
+        self.states: list[tuple] = [("", 0, None, 0)]
         self.ids = {self.states[0]: 0}
-        self.step: list[dict[str, tuple[int, int]]] = [{}]
-
-    def trim(self) -> None:
-        """Start compiling anew beyond ``MAX_STATES``, so memory stays bounded."""
-        if len(self.states) > MAX_STATES:
-            self._forget()
+        self.step: list[dict[str, int]] = [{}]
 
     def _merged(self, text: str) -> tuple[list[str], tuple[str, str] | None]:
         """The encoding by definition: merge the best pair, the leftmost of equals; and the last pair merged."""
@@ -131,62 +146,70 @@ class Transducer:
         """
         if last is None:
             return True
-        key = last, piece
-        if key not in self.fits:
-            limit, fits = np.inf, None
-            if (last + piece).startswith(2 * MARK):  # runs of marks may have equal scores
-                fits = self._merged(last + piece)[0] == [last, piece]
-            while fits is None:
-                whole = self.order.get(last + piece)
-                if whole is not None and whole < limit and self._split(last + piece) == (last, piece):
-                    fits = False
-                elif self.order[last] > self.order[piece]:
-                    limit, last = self.order[last], self._split(last)[1]
-                elif len(piece) > 1:
-                    limit, piece = self.order[piece] + 1, self._split(piece)[0]
-                else:
-                    fits = True
-            self.fits[key] = fits
-        return self.fits[key]
-
-    def _compile(self, state: int, char: str) -> tuple[int, int]:
-        suffix, lasts, counts = self.states[state]
-        if char not in self.rank:  # bytes of a character without a piece
-            out = (0, len(char.encode()))
-        else:
-            text = suffix + char
-            for n in range(1, len(text) + 1):
-                piece, at = text[-n:], len(text) - n
-                if self._sound(piece) and self._fits(lasts[at], piece):
-                    change = counts[at] + 1
-                    break
+        if (last + piece).startswith(2 * MARK):  # runs of marks may have equal scores
+            return self._merged(last + piece)[0] == [last, piece]
+        limit = np.inf
+        while True:
+            whole = self.order.get(last + piece)
+            if whole is not None and whole < limit and self._split(last + piece) == (last, piece):
+                return False
+            if self.order[last] > self.order[piece]:
+                limit, last = self.order[last], self._split(last)[1]
+            elif len(piece) > 1:
+                limit, piece = self.order[piece] + 1, self._split(piece)[0]
             else:
-                raise AssertionError(f"no token ends after {text!r}")
-            # boundaries where no piece can be under way tell nothing about what follows
-            open_at = [i == len(text) or text[i:] in self.prefixes for i in range(len(text) + 1)]
-            keep = open_at.index(True)
-            key = (
-                text[keep:],
-                tuple(t if o else None for t, o in zip((*lasts, piece)[keep:], open_at[keep:])),
-                tuple(c - change if o else 0 for c, o in zip((*counts, change)[keep:], open_at[keep:])),
-            )
-            if key not in self.ids:
-                self.ids[key] = len(self.states)
-                self.states.append(key)
-                self.step.append({})
-            out = (self.ids[key], change)
-        self.step[state][char] = out
-        return out
+                return True
+
+    def _move(self, state: tuple, char: str) -> tuple[tuple, int]:
+        """The state behind one more character, and the change of the count."""
+        if char not in self.rank:  # a character without a piece becomes its bytes
+            return self.states[0], len(char.encode())
+        text, found = state[0] + char, None
+        still_open = []
+        for i in range(1, len(state), 3):
+            n, last, count = state[i] + 1, state[i + 1], state[i + 2]
+            piece = text[-n:]
+            if found is None and self._sound(piece) and self._fits(last, piece):
+                found, change = self.canon[piece], count + 1
+            if piece in self.prefixes:
+                still_open.append((n, last, count))
+        if found is None:
+            raise AssertionError(f"no token ends after {text!r}")
+        key = [text[-still_open[-1][0] :] if still_open else "", 0, found, 0]
+        for n, last, count in still_open:
+            key += (n, last, count - change)
+        return tuple(key), change
 
     def count(self, chunk: str) -> int:
         """Tokens of one chunk: its constant state map's count."""
         state, total, step = 0, 0, self.step
-        for char in chunk:
+        for at, char in enumerate(chunk):
             move = step[state].get(char)
             if move is None:
-                move = self._compile(state, char)
-            state = move[0]
-            total += move[1]
+                return total - 32 * at + self._count_on(state, chunk[at:])
+            state = move >> 6
+            total += move & 63
+        return total - 32 * len(chunk)
+
+    def _count_on(self, at: int | None, chunk: str) -> int:
+        """``count`` from a state on, compiling what is met; beyond ``max_states`` new states are not kept."""
+        total, state = 0, self.states[at]
+        for char in chunk:
+            move = self.step[at].get(char) if at is not None else None
+            if move is not None:
+                at, change = move >> 6, (move & 63) - 32
+                state = self.states[at]
+            else:
+                state, change = self._move(state, char)
+                to = self.ids.get(state)
+                if to is None and len(self.states) < self.max_states:
+                    to = self.ids[state] = len(self.states)
+                    self.states.append(state)
+                    self.step.append({})
+                if at is not None and to is not None:
+                    self.step[at][char] = to << 6 | change + 32
+                at = to
+            total += change
         return total
 
 
@@ -196,28 +219,24 @@ def token_counts(df: DataFrame, model_path: str, id_col: str = "doc_id", text_co
     A null or empty text has 0 bytes and 0 tokens. Rows are counted one by one: repeated
     rows and null ids come back as they are. ``df`` may have any other columns.
     ``model_path`` is read where the tasks run, as the tokenizer's library does. A chunk's
-    count is kept by a 64-bit hash for about ``MEMO_WORDS`` chunks at a time, and about
-    ``MAX_STATES`` states; beyond that a worker begins again.
+    count is kept by a 64-bit hash for about ``MEMO_WORDS`` chunks at a time, and ``MAX_STATES``
+    states are kept; what goes beyond them is computed each time, with equal results.
     """
     schema = pa.schema([("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = kept_in_process(f"transducer {model_path}", lambda: Transducer(load_pieces(model_path)[0]))
-        memo = kept_in_process(f"token counts {model_path}", dict)
+        memo = kept_in_process(f"token counts {model_path}", Memo)
         for batch, texts in text_slices(batches):
-            machine.trim()
             data, starts, bounds, hashes = chunks(texts)
             known, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-            counts = np.array([memo.get(h, -1) for h in known.tolist()], np.int64)
+            counts = memo.get(known)
             ends = np.append(starts[1:], len(data))
-            raw = data.tobytes()
-            for i in np.flatnonzero(counts < 0).tolist():
-                at = first[i]
-                chunk = raw[starts[at] : ends[at]].decode().replace(" ", MARK)
-                counts[i] = memo[int(known[i])] = machine.count(chunk)
+            raw, new = data.tobytes(), np.flatnonzero(counts < 0)
+            for i, a, b in zip(new.tolist(), starts[first[new]].tolist(), ends[first[new]].tolist()):
+                counts[i] = machine.count(raw[a:b].decode().replace(" ", MARK))
+            memo.put(known[new], counts[new])
             scan = np.concatenate([[0], np.cumsum(counts[back])])  # composition of constant state maps
-            if len(memo) > MEMO_WORDS:
-                memo.clear()
             out = rows_of(schema, np.diff(texts.bounds), np.diff(scan[bounds]))
             yield pa.RecordBatch.from_arrays([batch.column(0), *out.columns], names=["id", *schema.names])
 
