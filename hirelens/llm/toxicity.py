@@ -21,7 +21,8 @@ from .words import _BYTE, _powers, mixed
 
 MAX_TRAIN_ROWS = 12_000
 MAX_VOCABULARY = 50_000
-MIN_DOCUMENTS = 5
+MIN_DOCUMENTS = 3
+MIN_Z = 4.0
 FOLDS = 3
 _WORD = np.zeros(256, bool)
 _WORD[[*range(ord("0"), ord("9") + 1), *range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(128, 256)]] = True
@@ -101,13 +102,31 @@ def _fit(rows: list[np.ndarray], y: np.ndarray, extra: np.ndarray, size: int, ep
     return w, bias, link
 
 
-def train_chain(words: list[np.ndarray], labels: np.ndarray, categories: Sequence[str], epochs: int = 6, seed: int = 5) -> Chain:
+def telling_words(words: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """Words in ``MIN_DOCUMENTS`` rows whose share differs between a category's rows and the rest by ``MIN_Z`` deviations.
+
+    At most ``MAX_VOCABULARY``, those that differ most; of equals the lowest hashes.
+    """
+    flat = np.concatenate([*words, np.zeros(0, np.uint64)])
+    found, at = np.unique(flat, return_inverse=True)
+    row = np.repeat(np.arange(len(words)), [len(w) for w in words])
+    count, z = np.bincount(at, minlength=len(found)), np.zeros(len(found))
+    for c in range(labels.shape[1]):
+        n1 = labels[:, c].sum()
+        n0 = len(words) - n1
+        if not n1 or not n0:
+            continue
+        inside = np.bincount(at, labels[row, c], len(found))
+        share = count / len(words)
+        spread = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n1 + 1 / n0))
+        z = np.maximum(z, np.abs(inside / n1 - (count - inside) / n0) / spread)
+    good = np.flatnonzero((count >= MIN_DOCUMENTS) & (z >= MIN_Z))
+    return np.sort(found[good[np.argsort(-z[good], kind="stable")[:MAX_VOCABULARY]]])
+
+
+def train_chain(words: list[np.ndarray], labels: np.ndarray, categories: Sequence[str], epochs: int = 12, seed: int = 5) -> Chain:
     """Fit the chain to rows of distinct word hashes; ``labels`` has a column of 0 or 1 per category."""
-    found, df = np.unique(np.concatenate([*words, np.zeros(0, np.uint64)]), return_counts=True)
-    keep = found[df >= MIN_DOCUMENTS]
-    if len(keep) > MAX_VOCABULARY:  # the words of most documents; of equals the lowest hashes
-        top = np.argsort(-df[df >= MIN_DOCUMENTS], kind="stable")[:MAX_VOCABULARY]
-        keep = np.sort(keep[top])
+    keep = telling_words(words, labels)
     rows = []
     for x in words:
         at = np.searchsorted(keep, x).clip(max=max(0, len(keep) - 1))
