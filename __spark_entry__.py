@@ -14,7 +14,7 @@ from hirelens.ml.metrics import classification_report, roc_auc
 from hirelens.ml.prep import class_weights
 from hirelens.ml.spec import DROP_OFF, MODELS, OFFER_DECLINE, TIME_TO_FILL, ModelSpec
 from hirelens.ml.split import stratified_split
-from hirelens.ml.train import TrainConfig, TrainResult, importance_view, metrics_frame, train
+from hirelens.ml.train import TrainResult, importance_view, metrics_frame, train
 from hirelens.plans import dims, features, kpi, signals
 from hirelens.plans.intermediate import req_first_fill, with_drop_flags
 from hirelens.plans.staging import stg_offers
@@ -57,9 +57,6 @@ except ImportError:
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = datetime.date(2025, 3, 1)
-# Registered model queries boost for fewer rounds than the library default of 300:
-# the driver's data carries no signal to find.
-SMOKE = TrainConfig(rounds=20)
 
 
 _houses: dict[tuple[str, str, bool], Warehouse] = {}
@@ -301,7 +298,7 @@ def _train(spark: SparkSession, sf_dir: str, spec: ModelSpec) -> TrainResult:
     """One training per session, directory and model; several queries use it."""
     key = (spark.sparkContext.applicationId, sf_dir, spec.name)
     if key not in _trained:
-        _trained[key] = train(_house(spark, sf_dir).table("mart_ml_features"), spec, SMOKE)
+        _trained[key] = train(_house(spark, sf_dir).table("mart_ml_features"), spec)
     return _trained[key]
 
 
@@ -310,7 +307,7 @@ def _metrics(spec: ModelSpec) -> Query:
 
 
 def _importance(spec: ModelSpec) -> Query:
-    return lambda spark, sf_dir: importance_view(_train(spark, sf_dir, spec).importance(SMOKE), len(spec.features))
+    return lambda spark, sf_dir: importance_view(_train(spark, sf_dir, spec).importance(), len(spec.features))
 
 
 def _score_requisitions(spark: SparkSession, sf_dir: str) -> DataFrame:

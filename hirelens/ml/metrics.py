@@ -24,14 +24,13 @@ def auc_from_counts(counts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     orders all scores: the scores are cut into value buckets of similar size,
     each bucket is summed by itself, and only the bucket totals are ordered
     across the whole range. Bucket bounds shape the work, never the result.
-    ``by`` must name few groups, since their bounds are broadcast.
     """
     quantiles = ", ".join(f"{i / BUCKETS}D" for i in range(1, BUCKETS))
     bounds = F.expr(f"array_distinct(percentile_approx(score, array({quantiles}), {10 * BUCKETS}))").alias("bounds")
     if by:
         group = list(by)
         # 199 numbers per group; groups are models, or features times repeats
-        bounded = counts.join(F.broadcast(counts.groupBy(*group).agg(bounds)), group)
+        bounded = counts.join(counts.groupBy(*group).agg(bounds), group)
     else:
         group = ["_all"]
         bounded = counts.withColumns({"_all": F.lit(0), "bounds": counts.agg(bounds).scalar()})

@@ -24,15 +24,18 @@ METRICS_SCHEMA = "model string, section string, name string, metric string, valu
 
 @dataclass(frozen=True)
 class TrainConfig:
-    """Defaults follow the reference run; ``rounds`` and ``repeats`` bound the cost."""
+    """How to train; the defaults hold at every size.
+
+    All ``rounds`` are boosted unless ``validation`` names a share of the training rows to
+    withhold from the trees; boosting then ends at the first round that does not improve on them.
+    """
 
     test: float = 0.25
     seed: int = 42
     max_iter: int = 1000
     rounds: int = 300
     repeats: int = 5
-    early_stopping_rows: int = 10_000
-    validation: float = 0.1
+    validation: float | None = None
 
 
 @dataclass(frozen=True)
@@ -83,7 +86,7 @@ def _fit(train: DataFrame, spec: ModelSpec, kind: str, counts: dict[float, int],
     rows = sum(counts.values())
     weighted = missing_flags(train, spec).withColumn("weight", weight_column("label", counts))
     validation = None
-    if kind == TREES and rows > config.early_stopping_rows:
+    if kind == TREES and config.validation is not None:
         validation = "is_validation"
         share = F.lit(int(config.validation * (1 << 31)))
         weighted = weighted.withColumn(validation, hash_position(spec.id, config.seed + 1) < share)

@@ -119,10 +119,12 @@ def build(
     """Land, clean, join and check; the rows landed, or None when already built.
 
     With ``strict`` a failed check stops the build before anything that depends
-    on the table is written.
+    on the table is written; the build then counts as not done, and the next call
+    builds and checks again.
     """
-    if not force and tables.is_built("marts", FEATURE_MART):
+    if not force and tables.is_built():
         return None
+    tables.mark_built(False)
     landed = land_raw(spark, src, tables)
     house = Warehouse(spark, _raw(tables), tables)
     for name, df in house.staged().items():
@@ -139,6 +141,7 @@ def build(
     house.store(FEATURE_MART)
     if strict:
         gate(run_suite(house.marts(), FEATURE_CHECKS))
+    tables.mark_built(True)
     return landed
 
 

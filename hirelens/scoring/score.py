@@ -112,7 +112,7 @@ def _plain(df: DataFrame, spec: ModelSpec) -> Column:
 
 
 def _only(df: DataFrame, ids: DataFrame | None, key: str) -> DataFrame:
-    return df if ids is None else df.join(ids.select(key).distinct(), key, "left_semi")
+    return df if ids is None else df.join(ids.select(key), key, "left_semi")
 
 
 def missing_ids(ids: DataFrame, df: DataFrame, key: str) -> DataFrame:

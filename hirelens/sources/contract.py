@@ -17,14 +17,20 @@ def _path(src: str, table: str) -> str:
     return f"{src.rstrip('/')}/{table}.csv"
 
 
-def read_contract_csv(spark: SparkSession, src: str, table: str) -> DataFrame:
+# Tables whose free text may hold line breaks inside quotes.
+FREE_TEXT = frozenset({"interviews"})
+
+
+def read_contract_csv(spark: SparkSession, src: str, table: str, multi_line: bool | None = None) -> DataFrame:
     """One contract table. Columns bind by position; a malformed row fails the job.
 
-    Records are one line each, so large files split across tasks. Empty fields
-    read as null, quoted or not.
+    Quotes inside quoted fields are doubled. With ``multi_line`` a quoted field may hold line
+    breaks, and a file is then read by one task; the default is so for tables with free text
+    only, others split across tasks. Empty fields read as null, quoted or not.
     """
     return spark.read.schema(CONTRACT[table]).csv(
-        _path(src, table), header=True, enforceSchema=True, mode="FAILFAST", dateFormat="yyyy-MM-dd"
+        _path(src, table), header=True, enforceSchema=True, mode="FAILFAST", dateFormat="yyyy-MM-dd",
+        escape='"', multiLine=table in FREE_TEXT if multi_line is None else multi_line,
     )
 
 
@@ -66,4 +72,7 @@ def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Standard CSV: quotes are doubled, outer spaces stay."""
+    df.write.mode("overwrite").csv(
+        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )

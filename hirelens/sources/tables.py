@@ -86,9 +86,13 @@ class Tables:
         df.createOrReplaceTempView(name)
         return df
 
-    def is_built(self, layer: str, name: str) -> bool:
-        """True when the table exists and has at least one row."""
+    def mark_built(self, complete: bool) -> None:
+        """Record whether the build as a whole is complete; its last step, and undone by its first."""
+        self.write(self.spark.range(1).selectExpr(f"{str(complete).lower()} as complete"), "state", "build")
+
+    def is_built(self) -> bool:
+        """True after a build that passed all its checks, until another one begins."""
         try:
-            return not self.read(layer, name).isEmpty()
+            return not self.read("state", "build").filter("complete").isEmpty()
         except AnalysisException:
             return False

@@ -38,7 +38,7 @@ CLEAN = {
 def test_build_lands_checks_and_is_idempotent(spark, tmp_path):
     src = write_inputs(tmp_path / "in", **CLEAN)
     tables = Tables(spark, str(tmp_path / "out"))
-    assert not tables.is_built("marts", "mart_ml_features")
+    assert not tables.is_built()
     landed = build(spark, src, tables)
     assert landed["applications"] == 5 and landed["total"] == sum(v for k, v in landed.items() if k != "total")
     assert build(spark, src, tables) is None
@@ -118,3 +118,30 @@ def test_row_counts_and_layer_names(spark):
     assert counts["applications"] == 8 and counts["total"] == sum(map(len, ROWS.values()))
     assert layer_name(" marts ", "public") == "marts" and layer_name(None, "public") == "public"
     assert set(MODELS) == {"time_to_fill_risk", "drop_off_risk", "offer_decline_risk"}
+
+
+def test_failed_gate_fails_again(spark, tmp_path):
+    bad = [(*r[:5], -1.0, *r[6:]) if i == 0 and isinstance(r[5], float) else r for i, r in enumerate(CLEAN["offers"])]
+    broken = {**CLEAN, "applications": [*CLEAN["applications"], CLEAN["applications"][0]], "offers": bad}
+    src, tables = write_inputs(tmp_path / "in", **broken), Tables(spark, str(tmp_path / "out"))
+    for _ in range(2):
+        with pytest.raises(QualityGateError):
+            build(spark, src, tables)
+    assert not tables.is_built()
+    good = write_inputs(tmp_path / "good", **CLEAN)
+    assert build(spark, good, tables) is not None and tables.is_built()
+    with pytest.raises(QualityGateError):
+        build(spark, src, tables, force=True)
+    assert not tables.is_built()
+
+
+def test_csv_keeps_quotes_line_breaks_and_spaces(spark, tmp_path):
+    texts = ['said ""great"", hire'.replace('""', '"'), "two\nlines, one field", " lead ", 'a "quoted" end"', "back\\slash"]
+    frame = read_contract_csv(spark, write_inputs(tmp_path / "in", **CLEAN), "interviews")
+    text = [f.name for f in frame.schema if f.name == "feedback_text"][0]
+    row = frame.first().asDict()
+    want = [{**row, "interview_id": f"I{i}", text: t} for i, t in enumerate(texts)]
+    planted = spark.createDataFrame([tuple(w[c] for c in frame.columns) for w in want], frame.schema)
+    write_csv(planted, str(tmp_path / "again" / "interviews.csv"))
+    back = read_contract_csv(spark, str(tmp_path / "again"), "interviews")
+    assert sorted((r["interview_id"], r[text]) for r in back.collect()) == [(w["interview_id"], w[text]) for w in want]

@@ -164,3 +164,13 @@ def test_shuffled_column_keeps_its_values(spark, planted):
 def test_one_class_is_an_error(spark, planted):
     with pytest.raises(ValueError, match="both classes"):
         train(planted.filter("label_offer_declined"), OFFER_DECLINE, FAST)
+
+
+def test_split_does_not_depend_on_partitions(spark):
+    ids = spark.range(300_000).selectExpr("id", "cast(id % 3 = 0 as double) as label")
+    seen = set()
+    for n in (1, 7, 64):
+        _, test = stratified_split(ids.repartition(n), "label", "id")
+        seen.add(tuple(test.selectExpr("count(*) as n", "sum(xxhash64(id) % 1000003) as s").first()))
+        assert {r["label"]: r["count"] for r in test.groupBy("label").count().collect()} == {0.0: 50_000, 1.0: 25_000}
+    assert len(seen) == 1
