@@ -7,10 +7,10 @@ prefix shingle and have sizes within the bound are paired; pairs are then expand
 members' distinct sets, which are compared exactly.
 
 Only components of links are asked for, so two groups need no comparison once they are known
-to be connected. In a first wave each group is compared with the smallest group at hand in
-each bucket, a number of pairs linear in the prefixes; in a second wave, with all groups of
+to be connected. In a first wave each group is compared with two of the smallest groups at hand in
+its buckets, a number of pairs linear in the groups; in a second wave, with all groups of
 its buckets that are not yet in its component. No link between different components is lost
-and a large group of near copies costs one comparison per member and bucket leader.
+and a large group of near copies costs about two comparisons per member.
 """
 
 from __future__ import annotations
@@ -28,8 +28,10 @@ from .words import SHINGLE, mixed, shingles, words
 
 NUMERATOR, DENOMINATOR = 75, 100  # Jaccard of at least 75 / 100
 COUNT_BITS = 20
-MEMBER_BITS = 22
+MEMBER_BITS = 20
 BLOCK = 2000
+PICKS = 8
+BRIEF_BYTES = 32  # of a bitmap that travels with a bucket's row
 
 
 def shingle_sets(texts: Texts, n: int = SHINGLE) -> list[np.ndarray]:
@@ -41,6 +43,15 @@ def prefix_length(size: int) -> int:
     return size - -(-NUMERATOR * size // DENOMINATOR) + 1
 
 
+def _enough(rest: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether two sets of ``sizes`` elements together can be similar if they first meet where ``rest`` are left.
+
+    Similar sets share 75 / 175 of their summed sizes, and from their first common element on
+    they have at most the shorter rest in common. At other common elements this may fail.
+    """
+    return (NUMERATOR + DENOMINATOR) * rest >= NUMERATOR * sizes
+
+
 def _ranked(s: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Shingles in the common order: by how often their counter was hit, in powers of two, then by hash."""
     kind = classes[(s >> np.uint64(64 - COUNT_BITS)).astype(np.int64)].astype(np.uint64)
@@ -79,11 +90,11 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     spark = df.sparkSession
     classes = spark.sparkContext.broadcast(_count_classes(rows.select("text"), n))  # 2**COUNT_BITS bytes
-    schema = pa.schema([("id", pa.int64()), ("size", pa.int64()), ("whole", pa.int64()), ("lead", pa.int64()), ("prefix", pa.list_(pa.int64()))])
+    schema = pa.schema([("id", pa.int64()), ("size", pa.int64()), ("whole", pa.int64()), ("lead", pa.int64()), ("prefix", pa.list_(pa.int64())), ("bits", pa.binary()), ("brief", pa.binary())])
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches):
-            sizes, whole, lead, prefixes = [], [], [], []
+            sizes, whole, lead, prefixes, bits, brief = [], [], [], [], [], []
             with np.errstate(over="ignore"):
                 for s in shingle_sets(texts, n):
                     p = _ranked(s, classes.value)[: prefix_length(len(s))] if len(s) else s
@@ -91,21 +102,27 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
                     whole.append(mixed(s).sum(dtype=np.uint64).view(np.int64))
                     lead.append(mixed(p ^ np.uint64(len(s))).sum(dtype=np.uint64).view(np.int64))
                     prefixes.append(p.view(np.int64))
+                    flips = parities(s)
+                    bits.append(flips.tobytes())
+                    while len(flips) > BRIEF_BYTES:
+                        flips = flips[: len(flips) // 2] ^ flips[len(flips) // 2 :]
+                    brief.append(flips.tobytes())
             offsets = np.cumsum([0, *map(len, prefixes)])
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(prefixes)))
-            yield rows_of(schema, batch.column(0), sizes, np.array(whole, np.int64), np.array(lead, np.int64), lists)
+            yield rows_of(schema, batch.column(0), sizes, np.array(whole, np.int64), np.array(lead, np.int64), lists, bits, brief)
 
-    sets = cut(rows.mapInArrow(summarise, "id long, size long, whole long, lead long, prefix array<long>"))
+    sets = cut(rows.mapInArrow(summarise, "id long, size long, whole long, lead long, prefix array<long>, bits binary, brief binary"))
     taking_part = sets.filter("size > 0 and id is not null")
     # distinct sets, each known by its smallest id; groups of equal prefix and size likewise
     members = taking_part.groupBy("size", "lead", "whole").agg(F.min("id").alias("node"))
     groups = members.groupBy("size", "lead").agg(F.min("node").alias("grp"))
     entries = (
         taking_part.select("id", "size", "lead", "prefix")
-        .join(groups, ["size", "lead"]).filter("id = grp").dropDuplicates(["grp", "size"])
-        .select(F.explode("prefix").alias("token"), "size", "grp")
+        .join(groups, ["size", "lead"]).filter("id = grp")
+        .select(F.posexplode("prefix").alias("pos", "token"), "size", "grp")
+        .select("token", "size", "grp", (F.col("size") - F.col("pos")).alias("rest"))
     )
-    first_schema = pa.schema([("token", pa.int64()), ("size", pa.int64()), ("grp", pa.int64()), ("leader", pa.int64())])
+    first_schema = pa.schema([(c, pa.int64()) for c in ("token", "size", "grp", "rest", "leader")])
 
     def lead_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each row of a bucket of several groups, with the smallest group that its size fits."""
@@ -113,80 +130,125 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
             many = np.flatnonzero(np.diff(bounds) > 1)
             if not len(many):
                 continue
-            size, grp = table.column("size").to_numpy(), table.column("grp").to_numpy()
-            leader = np.empty(len(size), np.int64)
+            size, grp, rest = (table.column(c).to_numpy() for c in ("size", "grp", "rest"))
+            leader = grp.copy()
             keep = np.zeros(len(size), bool)
             for k in many.tolist():
                 a, b = bounds[k], bounds[k + 1]
                 keep[a:b] = True
                 while a < b:
                     stop = a + int(np.searchsorted(NUMERATOR * size[a:b], DENOMINATOR * size[a], "right"))
-                    leader[a:stop] = grp[a]
+                    fits = _enough(np.minimum(rest[a], rest[a:stop]), size[a] + size[a:stop])
+                    leader[a:stop][fits] = grp[a]
                     a = stop
             spots = pa.array(np.flatnonzero(keep))
-            yield rows_of(first_schema, *(table.column(c).combine_chunks().take(spots) for c in ("token", "size", "grp")), leader[keep])
+            yield rows_of(first_schema, *(table.column(c).combine_chunks().take(spots) for c in ("token", "size", "grp", "rest")), leader[keep])
 
     index = entries.repartition("token").sortWithinPartitions("token", "size", "grp")
-    index = cut(index.mapInArrow(lead_buckets, "token long, size long, grp long, leader long"))
+    index = cut(index.mapInArrow(lead_buckets, "token long, size long, grp long, rest long, leader long"))
     nodes = members.join(groups, ["size", "lead"]).select("grp", "node", "size")
     nodes = cut(nodes.join(index.select("grp").distinct(), "grp", "left_semi").unionByName(
         nodes.join(nodes.groupBy("grp").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("grp"), "grp", "left_semi")
     ).distinct())
-    held = _sets_of(rows, nodes.select(F.col("node").alias("id")).distinct(), n)
+    marks = cut(sets.select("id", "size", "bits", "brief").join(nodes.select(F.col("node").alias("id")).distinct(), "id", "left_semi"))
 
     # first wave: leaders of buckets, and of groups, against the rest
-    leaders = index.filter("leader <> grp").select(F.col("leader").alias("a"), "grp").distinct()
+    leaders = index.filter("leader <> grp").groupBy("grp").agg(F.min("leader").alias("first"), F.max("leader").alias("last"))
+    leaders = leaders.select(F.explode(F.array_distinct(F.array("first", "last"))).alias("a"), "grp")
     wave = leaders.join(nodes, "grp").select("a", F.col("node").alias("b"))
     wave = wave.unionByName(nodes.filter("node <> grp").select(F.col("grp").alias("a"), F.col("node").alias("b")))
-    links = cut(_verified(wave.distinct(), held))
+    links = cut(_verified(wave.distinct(), marks, rows, n))
     reach = cut(components(links))
 
-    # second wave: groups of a bucket that are not all in one component yet
+    # second wave: groups that share a bucket, but no component yet; once a few pairs for
+    # each component, then all pairs of those that are still apart
+    for few in (1, 0):
+        more = cut(_verified(_apart(index, nodes, reach, marks, few), marks, rows, n))
+        links = links.unionByName(more)
+        reach = cut(components(links))
+
+    named = sets.select("id", "size", "lead", "whole").join(members, ["size", "lead", "whole"], "left").join(reach, "node", "left")
+    return named.select(
+        F.col("id").cast(id_kind).alias(id_col),
+        F.col("size").alias("n_shingles"),
+        F.when(F.col("id").isNotNull(), F.coalesce("component", "node", "id")).alias("component_id"),
+    )
+
+
+def _apart(index: DataFrame, nodes: DataFrame, reach: DataFrame, marks: DataFrame, few: int) -> DataFrame:
+    """Pairs (a, b) of sets that meet in a bucket or group and lie in different components.
+
+    Groups with one set bring its bitmap, folded, so most pairs that it rules out are not made.
+    With ``few`` at most ``PICKS`` pairs for each component, whatever their number, other ones for
+    another value; with 0 all.
+    """
+    tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = nodes.join(reach.select("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    spread = placed.groupBy("grp").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    bucket = index.select("token", "size", "grp").join(spread, "grp")
-    mixed_tokens = bucket.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h")).filter("l <> h").select("token")
-    dealt = block_pairs(bucket.join(mixed_tokens, "token"), ["token"], "grp", BLOCK)
-    dealt = dealt.select("token", "lo", "hi", "part", "size", "grp", "low", "high")
-    dealt = dealt.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi", "size", "grp")
-    pair_schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    spread = placed.groupBy("grp").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("k"))
+    brief = marks.groupBy(F.col("id").alias("grp")).agg(F.min("brief").alias("bits"), F.max("brief").alias("same")).filter("bits = same")
+    lone = spread.filter("k = 1").select("grp").join(brief.drop("same"), "grp")
+    spread = spread.drop("k")
+    bucket = index.select("token", "size", "grp", "rest").join(spread, "grp")
+    several = bucket.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h")).filter("l <> h").select("token")
+    pair_schema = pa.schema([(c, pa.int64()) for c in ("a", "b", "low", "high")])
 
     def pair_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in groups_of(batches, 3):
-            lo, hi, part, size, grp, low, high = (table.column(c).to_numpy() for c in ("lo", "hi", "part", "size", "grp", "low", "high"))
-            out: list[np.ndarray] = []
+            lo, hi, part, size, grp, rest, low, high = (
+                table.column(c).to_numpy() for c in ("lo", "hi", "part", "size", "grp", "rest", "low", "high")
+            )
+            bits = table.column("bits").combine_chunks()
+            out, held = [], 0
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-                for i in range(a, b - 1):
-                    stop = i + int(np.searchsorted(NUMERATOR * size[i:b], DENOMINATOR * size[i], "right"))
-                    j = np.arange(i + 1, stop)
-                    apart = (low[j] != low[i]) | (high[j] != high[i]) | (low[j] != high[j])
-                    if lo[i] != hi[i]:
-                        apart &= part[j] != part[i]
-                    j = j[apart]
-                    if len(j):
-                        out.append(np.stack([np.full(len(j), grp[i]), grp[j]]))
-                if sum(x.shape[1] for x in out) > 100_000:
+                for top in range(a, b - 1, 256):
+                    i, j = slice(top, min(top + 256, b)), slice(top, b)
+                    x, y = size[i][:, None], size[j][None, :]
+                    fits = (NUMERATOR * y <= DENOMINATOR * x) & _enough(np.minimum(rest[i][:, None], rest[j][None, :]), x + y)
+                    fits &= (low[i][:, None] != low[j][None, :]) | (high[i][:, None] != high[j][None, :]) | (low[i][:, None] != high[j][None, :])
+                    if lo[a] != hi[a]:
+                        fits &= part[i][:, None] != part[j][None, :]
+                    u, v = np.nonzero(np.triu(fits, 1))
+                    near = _near(bits, size, u + top, v + top)
+                    u, v = u[near], v[near]
+                    if not len(u):
+                        continue
+                    found = np.stack([grp[i][u], grp[j][v], np.minimum(low[i][u], low[j][v]), np.maximum(high[i][u], high[j][v])])
+                    if few:  # for each component met here one pair with any other, and one with that it meets most
+                        chance = mixed((found[0] * 31 + found[1] * few).view(np.uint64))
+                        _, which, times = np.unique(mixed(found[2].view(np.uint64)) + found[3].view(np.uint64), return_inverse=True, return_counts=True)
+                        picked = []
+                        for order in (np.argsort(chance), np.lexsort((chance, -times[which]))):
+                            ends = np.unique(found[2:, order].ravel(), return_index=True)[1] % found.shape[1]
+                            picked.append(order[ends])
+                        found = found[:, np.unique(np.concatenate(picked))]
+                    out.append(found)
+                    held += found.shape[1]
+                if held > 100_000:
                     yield rows_of(pair_schema, *np.concatenate(out, axis=1))
-                    out = []
+                    out, held = [], 0
             if out:
                 yield rows_of(pair_schema, *np.concatenate(out, axis=1))
 
-    pairs = dealt.mapInArrow(pair_up, "a long, b long").distinct()
+    def met(rows: DataFrame, key: str, by: str) -> DataFrame:
+        dealt = block_pairs(rows, [key], by, BLOCK).select(F.col(key).alias("token"), "lo", "hi", "part", "size", F.col(by).alias("grp"), "rest", "low", "high")
+        dealt = dealt.join(lone, "grp", "left") if by == "grp" else dealt.withColumn("bits", F.lit(None).cast("binary"))
+        dealt = dealt.select("token", "lo", "hi", "part", "size", "grp", "rest", "low", "high", "bits")
+        dealt = dealt.repartition(tasks, "token", "lo", "hi").sortWithinPartitions("token", "lo", "hi", "size", "grp")
+        found = dealt.mapInArrow(pair_up, "a long, b long, low long, high long")
+        if not few:
+            return found.select("a", "b").distinct()
+        ends = found.withColumn("end", F.explode(F.array("low", "high")))
+        chosen = ends.groupBy("end").agg(*[F.min(F.struct(F.xxhash64(F.lit(PICKS * few + k), "a", "b"), "a", "b")).alias(f"p{k}") for k in range(PICKS)])
+        return chosen.select(F.explode(F.array(*[f"p{k}" for k in range(PICKS)])).alias("p")).select("p.a", "p.b").distinct()
+
+    pairs = met(bucket.join(several, "token"), "token", "grp")
     sides = placed.select("grp", "node", "component")
-    second = pairs.join(sides.toDF("a", "x", "cx"), "a").join(sides.toDF("b", "y", "cy"), "b").filter("cx <> cy").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    within = placed.join(spread.filter("low <> high").select("grp"), "grp", "left_semi").select("grp", "node", "component", F.lit(0).alias("zero"))
-    # members of one group in different components: blocks again, so no group is met whole
-    inner = block_pairs(within, ["grp"], "node", BLOCK).select(F.col("grp").alias("token"), "lo", "hi", "part", F.lit(1).cast("long").alias("size"), F.col("node").alias("grp"), F.col("component").alias("low"), F.col("component").alias("high"))
-    inner = inner.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi", "size", "grp").mapInArrow(pair_up, "a long, b long")
-    more = cut(_verified(second.unionByName(inner).distinct(), held))
-    reach = components(links.unionByName(more))
-
-    named = sets.select("id", "size", "lead", "whole").join(members, ["size", "lead", "whole"], "left").join(reach, "node", "left")
-    return named.select(
-        F.col("id").cast(id_kind).alias(id_col),
-        F.col("size").alias("n_shingles"),
-        F.when(F.col("id").isNotNull(), F.coalesce("component", "node", "id")).alias("component_id"),
-    )
+    across = pairs.join(sides.toDF("a", "x", "cx"), "a").join(sides.toDF("b", "y", "cy"), "b").filter("cx <> cy")
+    # members of one group that are not all in one component
+    split = placed.join(spread.filter("low <> high").select("grp"), "grp", "left_semi")
+    one = F.lit(1).cast("long")
+    inside = met(split.select("grp", "node", one.alias("size"), one.alias("rest"), F.col("component").alias("low"), F.col("component").alias("high")), "grp", "node")
+    return across.select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(inside).distinct()
 
 
 def _sets_of(rows: DataFrame, ids: DataFrame, n: int) -> DataFrame:
@@ -224,10 +286,69 @@ def _sets_of(rows: DataFrame, ids: DataFrame, n: int) -> DataFrame:
     return cut(exact.mapInArrow(build, "id long, shingles binary"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity, by exact intersection."""
+def parities(s: np.ndarray) -> np.ndarray:
+    """A bitmap of at least two bits per element, a power of two, in which each element flips one bit.
+
+    Two bitmaps differ in at most as many bits as the sets differ in elements, also after the
+    longer one is folded onto the shorter, so a larger difference proves that sets are apart.
+    """
+    size = max(64, 1 << int(2 * max(1, len(s)) - 1).bit_length())
+    slots = (s & np.uint64(size - 1)).astype(np.int64)
+    return np.packbits(np.bincount(slots, minlength=size).astype(np.uint8) & 1)
+
+
+def may_link(x: np.ndarray, y: np.ndarray, size: int) -> bool:
+    """False only if sets of ``size`` elements together differ in too many to be similar."""
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    apart = int(np.bitwise_count(x ^ y).sum())
+    # shared = (size - apart) / 2 at most, union = size - shared
+    return DENOMINATOR * (size - apart) >= NUMERATOR * (size + apart)
+
+
+def _near(bits: pa.Array, size: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """``may_link`` for pairs of rows, many at once; rows without a bitmap may link."""
+    out = np.ones(len(u), bool)
+    if not len(u):
+        return out
+    bounds = np.frombuffer(bits.buffers()[1], np.int32)[bits.offset : bits.offset + len(bits) + 1].astype(np.int64)
+    data = np.frombuffer(bits.buffers()[2], np.uint8) if bits.buffers()[2] is not None else np.zeros(0, np.uint8)
+    length = np.diff(bounds)
+    shorter, longer = np.minimum(length[u], length[v]), np.maximum(length[u], length[v])
+    for width in np.unique(shorter[(shorter > 0) & (longer <= 2 * shorter)]).tolist():
+        own = np.flatnonzero((shorter == width) & (longer <= 2 * shorter))
+        for part in np.array_split(own, -(-len(own) * width // (1 << 22))):
+            x = np.zeros((len(part), width), np.uint8)
+            for side in (u[part], v[part]):
+                x ^= data[bounds[side][:, None] + np.arange(width)]
+                twice = np.flatnonzero(length[side] == 2 * width)
+                x[twice] ^= data[bounds[side[twice]][:, None] + np.arange(width, 2 * width)]
+            apart = np.bitwise_count(x).sum(axis=1, dtype=np.int64)
+            both = size[u[part]] + size[v[part]]
+            out[part] = DENOMINATOR * (both - apart) >= NUMERATOR * (both + apart)
+    return out
+
+
+def _verified(pairs: DataFrame, marks: DataFrame, rows: DataFrame, n: int) -> DataFrame:
+    """The pairs (a, b) whose sets reach the similarity.
+
+    Bitmaps, a thirtieth of the sets' size, first rule out pairs that cannot; the sets of
+    the rest are made from their texts and intersected exactly.
+    """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            x, y = batch.column(4), batch.column(5)
+            keep = [
+                i for i, size in enumerate(sizes.tolist())
+                if may_link(np.frombuffer(x[i].as_buffer(), np.uint8), np.frombuffer(y[i].as_buffer(), np.uint8), size)
+            ]
+            yield rows_of(schema, *(batch.column(c).take(pa.array(keep, pa.int64())) for c in (0, 1)))
+
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = batch.column(2), batch.column(3)
@@ -240,5 +361,12 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                     keep.append(i)
             yield rows_of(schema, *(batch.column(c).take(pa.array(keep, pa.int64())) for c in (0, 1)))
 
-    both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
-    return both.mapInArrow(check, "a long, b long")
+    def sided(left: DataFrame, values: DataFrame) -> DataFrame:
+        names = [c for c in values.columns if c != "id"]
+        for side in ("a", "b"):
+            left = left.join(values.toDF(side, *(f"{c}_{side}" for c in names)), side)
+        return left.select("a", "b", *(f"{c}_{side}" for c in names for side in ("a", "b")))
+
+    close = cut(sided(pairs, marks.select("id", "size", "bits")).mapInArrow(sift, "a long, b long").distinct())
+    ids = close.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    return sided(close, _sets_of(rows, ids, n)).mapInArrow(check, "a long, b long").distinct()
