@@ -112,6 +112,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
             yield rows_of(schema, batch.column(0), sizes, np.array(whole, np.int64), np.array(lead, np.int64), lists, bits, brief)
 
     sets = cut(rows.mapInArrow(summarise, "id long, size long, whole long, lead long, prefix array<long>, bits binary, brief binary"))
+    classes.destroy()
     taking_part = sets.filter("size > 0 and id is not null")
     # distinct sets, each known by its smallest id; groups of equal prefix and size likewise
     members = taking_part.groupBy("size", "lead", "whole").agg(F.min("id").alias("node"))
@@ -164,8 +165,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # each component, then all pairs of those that are still apart
     for few in (1, 0):
         more = cut(_verified(_apart(index, nodes, reach, marks, few), marks, rows, n))
-        links = links.unionByName(more)
-        reach = cut(components(links))
+        reach = cut(_joined(reach, more))
 
     named = sets.select("id", "size", "lead", "whole").join(members, ["size", "lead", "whole"], "left").join(reach, "node", "left")
     return named.select(
@@ -283,7 +283,21 @@ def _sets_of(rows: DataFrame, ids: DataFrame, n: int) -> DataFrame:
 
     few = rows.filter("id is not null").mapInArrow(likely, "id long, text string")
     exact = few.join(ids, "id", "left_semi").filter("text is not null")
-    return cut(exact.mapInArrow(build, "id long, shingles binary"))
+    made = cut(exact.mapInArrow(build, "id long, shingles binary"))
+    held.destroy()
+    return made
+
+
+def _joined(reach: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after more links, found among the components so far rather than all nodes."""
+    ends = links
+    for side in ("a", "b"):
+        ends = ends.join(reach.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side, "left")
+    ends = ends.select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
+    grown = cut(components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b"))))
+    renamed = grown.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    old = reach.join(renamed, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return old.unionByName(grown.join(reach, "node", "left_anti").select("node", "component"))
 
 
 def parities(s: np.ndarray) -> np.ndarray:
