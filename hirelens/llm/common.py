@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from hirelens.session import cut_lineage as cut
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 __all__ = [
     "Texts",
@@ -59,7 +59,7 @@ def text_slices(
 ) -> Iterator[tuple[pa.RecordBatch, Texts]]:
     """Pieces of the batches whose texts take about ``most`` bytes, at least one row each.
 
-    A task thus holds working arrays for a few megabytes however large its batches are;
+    A task thus holds working arrays for a few hundred kilobytes however large its batches are;
     a longer text is a piece of its own and is still taken whole.
     """
     for batch in batches:

@@ -208,7 +208,7 @@ def find_leaks(
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             known = held.value
-            for batch, texts in text_slices(batches):
+            for batch, texts in text_slices(batches, most=1 << 20):
                 hashes, bounds = tokens(texts)
                 found: dict[tuple, tuple] = {}
                 for text, item, distance, place in known.leaks(hashes, bounds):

@@ -252,7 +252,7 @@ class _Memo:
 def _encoded(
     model: Unigram, batches: Iterator[pa.RecordBatch], memo: _Memo
 ) -> Iterator[tuple[pa.RecordBatch, Texts, np.ndarray, np.ndarray]]:
-    for batch, texts in text_slices(batches):
+    for batch, texts in text_slices(batches, most=1 << 20):
         data, starts, bounds, hashes = chunks(texts)
         known, first, back = np.unique(hashes, return_index=True, return_inverse=True)
         ends, raw = np.append(starts[1:], len(data)), data.tobytes()

@@ -227,7 +227,7 @@ def token_counts(df: DataFrame, model_path: str, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = kept_in_process(f"transducer {model_path}", lambda: Transducer(load_pieces(model_path)[0]))
         memo = kept_in_process(f"token counts {model_path}", Memo)
-        for batch, texts in text_slices(batches):
+        for batch, texts in text_slices(batches, most=1 << 20):
             data, starts, bounds, hashes = chunks(texts)
             known, first, back = np.unique(hashes, return_index=True, return_inverse=True)
             counts = memo.get(known)
