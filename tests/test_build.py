@@ -82,7 +82,7 @@ def test_catalog_tables_may_be_bucketed(spark, tmp_path):
         assert joined.count() == 5
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        for layer in ("raw", "intermediate", "marts"):
+        for layer in ("raw", "intermediate", "marts", "state"):
             spark.sql(f"drop database {layer} cascade")
 
 
