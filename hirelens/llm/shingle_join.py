@@ -52,10 +52,10 @@ def _enough(rest: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return (NUMERATOR + DENOMINATOR) * rest >= NUMERATOR * sizes
 
 
-def _ranked(s: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """Shingles in the common order: by how often their counter was hit, in powers of two, then by hash."""
+def _ranks(s: np.ndarray, spread: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """The common order of shingles, ``spread`` by ``mixed``: by how often their counter was hit, in powers of two, then by hash."""
     kind = classes[(s >> np.uint64(64 - COUNT_BITS)).astype(np.int64)].astype(np.uint64)
-    return np.sort((kind << np.uint64(58)) | (mixed(s) >> np.uint64(6)))
+    return (kind << np.uint64(58)) | (spread >> np.uint64(6))
 
 
 def _count_classes(texts: DataFrame, n: int) -> np.ndarray:
@@ -64,11 +64,8 @@ def _count_classes(texts: DataFrame, n: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
         total = np.zeros(1 << COUNT_BITS, np.int64)
         for _, part in text_slices(batches):
-            for s in shingle_sets(part, n):
-                if len(s) > 1 << 14:
-                    total += np.bincount((s >> np.uint64(64 - COUNT_BITS)).astype(np.int64), minlength=len(total))
-                else:
-                    np.add.at(total, (s >> np.uint64(64 - COUNT_BITS)).astype(np.int64), 1)
+            found = np.concatenate(shingle_sets(part, n)) >> np.uint64(64 - COUNT_BITS)
+            np.add.at(total, found.astype(np.int64), 1)
         yield 0, total
 
     total = merged_counts(texts, count, 1 << COUNT_BITS).get(0, np.zeros(1 << COUNT_BITS, np.int64))
@@ -96,10 +93,16 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         for batch, texts in text_slices(batches):
             sizes, whole, lead, prefixes, bits, brief = [], [], [], [], [], []
             with np.errstate(over="ignore"):
-                for s in shingle_sets(texts, n):
-                    p = _ranked(s, classes.value)[: prefix_length(len(s))] if len(s) else s
+                sets = shingle_sets(texts, n)
+                joint = np.concatenate(sets)
+                spread = mixed(joint)
+                ranks = _ranks(joint, spread, classes.value)
+                stop = 0
+                for s in sets:
+                    start, stop = stop, stop + len(s)
+                    p = np.sort(ranks[start:stop])[: prefix_length(len(s))] if len(s) else s
                     sizes.append(len(s))
-                    whole.append(mixed(s).sum(dtype=np.uint64).view(np.int64))
+                    whole.append(spread[start:stop].sum(dtype=np.uint64).view(np.int64))
                     lead.append(mixed(p ^ np.uint64(len(s))).sum(dtype=np.uint64).view(np.int64))
                     prefixes.append(p.view(np.int64))
                     flips = parities(s)
