@@ -32,6 +32,7 @@ MEMBER_BITS = 20
 BLOCK = 2000
 PICKS = 8
 BRIEF_BYTES = 32  # of a bitmap that travels with a bucket's row
+STEPS = 64  # in which a pair's distance is told apart
 
 
 def shingle_sets(texts: Texts, n: int = SHINGLE) -> list[np.ndarray]:
@@ -182,8 +183,8 @@ def _apart(index: DataFrame, nodes: DataFrame, reach: DataFrame, marks: DataFram
     """Pairs (a, b) of sets that meet in a bucket or group and lie in different components.
 
     Groups with one set bring its bitmap, folded, so most pairs that it rules out are not made.
-    With ``few`` at most ``PICKS`` pairs for each component, whatever their number, other ones for
-    another value; with 0 all.
+    With ``few`` at most ``PICKS`` pairs for each component, whatever their number, the closest by
+    their bitmaps, other ones of equal distance for another value; with 0 all.
     """
     tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = nodes.join(reach.select("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -193,14 +194,14 @@ def _apart(index: DataFrame, nodes: DataFrame, reach: DataFrame, marks: DataFram
     spread = spread.drop("k")
     bucket = index.select("token", "size", "grp", "rest").join(spread, "grp")
     several = bucket.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h")).filter("l <> h").select("token")
-    pair_schema = pa.schema([(c, pa.int64()) for c in ("a", "b", "low", "high")])
+    pair_schema = pa.schema([(c, pa.int64()) for c in ("a", "b", "low", "high", "gap")])
 
     def pair_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in groups_of(batches, 3):
             lo, hi, part, size, grp, rest, low, high = (
                 table.column(c).to_numpy() for c in ("lo", "hi", "part", "size", "grp", "rest", "low", "high")
             )
-            bits = table.column("bits").combine_chunks()
+            token, bits = table.column("token").to_numpy(), table.column("bits").combine_chunks()
             out, held = [], 0
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                 for top in range(a, b - 1, 256):
@@ -211,17 +212,17 @@ def _apart(index: DataFrame, nodes: DataFrame, reach: DataFrame, marks: DataFram
                     if lo[a] != hi[a]:
                         fits &= part[i][:, None] != part[j][None, :]
                     u, v = np.nonzero(np.triu(fits, 1))
-                    near = _near(bits, size, u + top, v + top)
-                    u, v = u[near], v[near]
+                    gap = _gaps(bits, size, u + top, v + top)
+                    u, v, gap = u[gap >= 0], v[gap >= 0], gap[gap >= 0]
                     if not len(u):
                         continue
-                    found = np.stack([grp[i][u], grp[j][v], np.minimum(low[i][u], low[j][v]), np.maximum(high[i][u], high[j][v])])
-                    if few:  # for each component met here one pair with any other, and one with that it meets most
-                        chance = mixed((found[0] * 31 + found[1] * few).view(np.uint64))
+                    found = np.stack([grp[i][u], grp[j][v], np.minimum(low[i][u], low[j][v]), np.maximum(high[i][u], high[j][v]), gap])
+                    if few:  # for each component met here the closest pair, and the closest with the one it meets most
+                        chance = mixed((found[0] * 31 + found[1] * few + token[a : a + 1]).view(np.uint64))
                         _, which, times = np.unique(mixed(found[2].view(np.uint64)) + found[3].view(np.uint64), return_inverse=True, return_counts=True)
                         picked = []
-                        for order in (np.argsort(chance), np.lexsort((chance, -times[which]))):
-                            ends = np.unique(found[2:, order].ravel(), return_index=True)[1] % found.shape[1]
+                        for order in (np.lexsort((chance, gap)), np.lexsort((chance, gap, -times[which]))):
+                            ends = np.unique(found[2:4, order].ravel(), return_index=True)[1] % found.shape[1]
                             picked.append(order[ends])
                         found = found[:, np.unique(np.concatenate(picked))]
                     out.append(found)
@@ -237,12 +238,15 @@ def _apart(index: DataFrame, nodes: DataFrame, reach: DataFrame, marks: DataFram
         dealt = dealt.join(lone, "grp", "left") if by == "grp" else dealt.withColumn("bits", F.lit(None).cast("binary"))
         dealt = dealt.select("token", "lo", "hi", "part", "size", "grp", "rest", "low", "high", "bits")
         dealt = dealt.repartition(tasks, "token", "lo", "hi").sortWithinPartitions("token", "lo", "hi", "size", "grp")
-        found = dealt.mapInArrow(pair_up, "a long, b long, low long, high long")
+        found = dealt.mapInArrow(pair_up, "a long, b long, low long, high long, gap long")
         if not few:
             return found.select("a", "b").distinct()
         ends = found.withColumn("end", F.explode(F.array("low", "high")))
-        chosen = ends.groupBy("end").agg(*[F.min(F.struct(F.xxhash64(F.lit(PICKS * few + k), "a", "b"), "a", "b")).alias(f"p{k}") for k in range(PICKS)])
-        return chosen.select(F.explode(F.array(*[f"p{k}" for k in range(PICKS)])).alias("p")).select("p.a", "p.b").distinct()
+        lot = F.pmod(F.xxhash64(F.lit(few), "a", "b"), F.lit(PICKS))
+        closest = F.struct("gap", F.xxhash64("a", "b").alias("chance"), "a", "b")
+        chosen = ends.groupBy("end").agg(*[F.min(F.when(lot == k, closest)).alias(f"p{k}") for k in range(PICKS)])
+        picks = chosen.select(F.explode(F.array(*[f"p{k}" for k in range(PICKS)])).alias("p")).filter("p is not null")
+        return picks.select("p.a", "p.b").distinct()
 
     pairs = met(bucket.join(several, "token"), "token", "grp")
     sides = placed.select("grp", "node", "component")
@@ -325,9 +329,12 @@ def may_link(x: np.ndarray, y: np.ndarray, size: int) -> bool:
     return DENOMINATOR * (size - apart) >= NUMERATOR * (size + apart)
 
 
-def _near(bits: pa.Array, size: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """``may_link`` for pairs of rows, many at once; rows without a bitmap may link."""
-    out = np.ones(len(u), bool)
+def _gaps(bits: pa.Array, size: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """For pairs of rows the least distance that their bitmaps allow, in ``STEPS``; -1 unless they ``may_link``.
+
+    Rows without a bitmap count as half as far apart as a link may be.
+    """
+    out = np.full(len(u), (DENOMINATOR - NUMERATOR) * STEPS // (2 * DENOMINATOR), np.int64)
     if not len(u):
         return out
     bounds = np.frombuffer(bits.buffers()[1], np.int32)[bits.offset : bits.offset + len(bits) + 1].astype(np.int64)
@@ -344,7 +351,8 @@ def _near(bits: pa.Array, size: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.
                 x[twice] ^= data[bounds[side[twice]][:, None] + np.arange(width, 2 * width)]
             apart = np.bitwise_count(x).sum(axis=1, dtype=np.int64)
             both = size[u[part]] + size[v[part]]
-            out[part] = DENOMINATOR * (both - apart) >= NUMERATOR * (both + apart)
+            may = DENOMINATOR * (both - apart) >= NUMERATOR * (both + apart)
+            out[part] = np.where(may, 2 * apart * STEPS // (both + apart), -1)
     return out
 
 
