@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,6 +85,25 @@ def test_bitmaps_never_rule_out_similar_sets():
                 assert shingle_join.may_link(shingle_join.parities(x), shingle_join.parities(y), n + len(y))
 
 
+def test_gaps_keep_the_pairs_that_may_link_and_order_them():
+    rng = np.random.default_rng(8)
+    base = np.unique(rng.integers(0, 2**63, 60).astype(np.uint64))
+    sets = [base, base[:57], base[:48], base[:20], np.unique(rng.integers(0, 2**63, 60).astype(np.uint64)), base[:50]]
+    marks = [shingle_join.parities(s) for s in sets]
+    bits = pa.array([*(m.tobytes() for m in marks[:-1]), None], pa.binary())
+    size = np.array([len(s) for s in sets])
+    u, v = np.triu_indices(len(sets), 1)
+    gaps = shingle_join._gaps(bits, size, u, v)
+    for a, b, gap in zip(u, v, gaps.tolist()):
+        known = b < len(sets) - 1 and max(map(len, (marks[a], marks[b]))) <= 2 * min(map(len, (marks[a], marks[b])))
+        if known:
+            assert (gap >= 0) == shingle_join.may_link(marks[a], marks[b], int(size[a] + size[b]))
+        else:
+            assert gap == 8
+    of = dict(zip(zip(u.tolist(), v.tolist()), gaps.tolist()))
+    assert 0 <= of[0, 1] < of[0, 2]
+
+
 def vector_rows():
     rng = np.random.default_rng(6)
     centers = rng.standard_normal((30, 16))
