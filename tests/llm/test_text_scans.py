@@ -124,3 +124,55 @@ def test_licences(docs_of, empty_docs):
         else:
             assert (r["license"], r["dice"], r["n_notices"]) == (None, None, 0)
     assert licenses.scan_licenses(empty_docs).count() == 0
+
+
+def test_wrapped_licences_inside_documents(docs_of):
+    import textwrap
+
+    rng = random.Random(3)
+    filler = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) + rng.choice(["", "", ".", "\n"]) for _ in range(n))
+    mit, clause = licenses.TEMPLATES["MIT"][-1], licenses.TEMPLATES["BSD-3-Clause"][0]
+    inside = [(n, t) for n, many in licenses.TEMPLATES.items() for t in many if "\n" in t]
+    assert {"MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "MPL-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "CC-BY-4.0"} <= {n for n, _ in inside}
+    inside += [("MIT", "\n".join(" ".join(x.split()) for x in mit.split("\n\n"))), ("BSD-3-Clause", clause), ("GPL-3.0", licenses.TEMPLATES["GPL-3.0"][1])]
+    rows, want = [], {}
+    for k, (name, text) in enumerate(inside):
+        part = text if k >= len(inside) - 3 and name == "MIT" else textwrap.fill(" ".join(text.split()), rng.choice([60, 72, 80]))
+        words = part.split(" ")
+        for _ in range(len(words) // 40):  # a few words differ
+            words[rng.randrange(len(words))] = "other"
+        part = "\n".join("# " + x for x in " ".join(words).split("\n"))
+        rows.append((k, f"{filler(150)}\n{part}\n{filler(rng.choice([0, 90]))}"))
+        want[k] = ([name], 1)
+    full = {n: max(many, key=len) for n, many in licenses.TEMPLATES.items()}
+    rows += [(100, "\n".join([textwrap.fill(mit, 50), filler(20), full["BSD-2-Clause"], textwrap.fill(mit, 70), "Released under the MIT License."]))]
+    rows += [(101, "\n".join(full["GPL-2.0"].split("\n")[60:130])), (102, "Licensed under the\nApache License, Version 1.1.")]
+    want |= {100: (["BSD-2-Clause", "MIT"], 4), 101: ([], 0), 102: ([], 0)}
+    got = {r["doc_id"]: (r["licenses"], r["n_notices"]) for r in licenses.scan_licenses(docs_of(rows)).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("long", [60, 4])
+def test_licence_windows_equal_all_windows(monkeypatch, long):
+    from hirelens.llm.common import Texts
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(licenses, "LONG", long)
+    monkeypatch.setattr(licenses, "MAX_CELLS", 200)
+    rng, grams = random.Random(long), lambda w: set(zip(w, w[1:]))
+    hits = 0
+    for _ in range(150):
+        word = lambda: rng.choice("abcdefghijklmnop")
+        t = [word() for _ in range(rng.randint(4, 14))]
+        part = [word() if rng.random() < 0.08 else x for x in t]
+        doc = [word() for _ in range(rng.randint(0, 12))] + part + [word() for _ in range(rng.randint(0, 12))]
+        notices, h = licenses.Notices({"x": (" ".join(t),)}, 0.8), grams(t)
+        least = len(t) if len(h) < long else 2
+        most = int((len(t) - 1) * 1.5 + 1e-9) + 1
+        spans = [(0, len(doc))] + [(a, b) for a in range(len(doc)) for b in range(a + least, min(a + most, len(doc)) + 1)]
+        best = max(2 * len(h & grams(doc[a:b])) / (len(h) + len(grams(doc[a:b]))) for a, b in spans)
+        found = list(licenses._places(Texts(pa.array(["\t".join(doc)])), notices))[0]
+        assert (max(found)[0] if found else 0) == pytest.approx(best if best >= 0.8 else 0)
+        hits += best >= 0.8
+    assert 40 < hits < 150
