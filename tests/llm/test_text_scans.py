@@ -85,6 +85,62 @@ def test_edit_distance_is_that_of_the_closest_part():
         assert decontaminate.edit_distance(a, np.array(passage, np.uint64)) == want
 
 
+def test_leaks_of_long_items_equal_brute_force(spark, docs_of):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    sizes = [60, 118, 200, 300, 400, 600, 800, 1000]
+    items = [(k, " ".join(word() for _ in range(m))) for k, m in enumerate(sizes)]
+    rows = []
+    for d in range(80):
+        k = d % len(sizes)
+        part, e = items[k][1].split(), decontaminate.edits(sizes[k], decontaminate.SIMILARITY)
+        kind, reach = d // len(sizes), len(part)
+        if kind == 7:  # all edits in one part
+            reach = 2 * e
+        if kind == 8:  # half an item
+            part, e, reach = part[: len(part) // 2], 0, 1
+        if kind == 9:  # far beyond the limit
+            e = 2 * e
+        if kind in (0, 1, 2, 7):  # as many edits as the limit allows
+            for p in rng.sample(range(reach), e):
+                part[p] = word()
+        else:
+            for _ in range(e):
+                p = rng.randrange(min(reach, len(part)))
+                part = [part[:p] + [word()] + part[p + 1 :], part[:p] + [word()] + part[p:], part[:p] + part[p + 1 :]][rng.randrange(3)]
+        rows.append((d, " ".join([word() for _ in range(rng.choice([0, 50]))] + part + [word() for _ in range(rng.choice([0, 30]))])))
+    rows.append((100, " ".join([items[3][1]] * 3 + [word() for _ in range(9)] + [items[5][1]])))
+    code = defaultdict(lambda: len(code) + 1)
+    coded = lambda t: np.array([code[w] for w in t.split()], np.uint64)
+    whole, texts, want = dict(items), dict(rows), {}
+    for d, text in rows:
+        for k, item in items:
+            distance = decontaminate.edit_distance(coded(item), coded(text))
+            if distance <= decontaminate.edits(sizes[k], decontaminate.SIMILARITY):
+                want[d, k] = distance
+    assert len(want) >= 64 and {(100, 3), (100, 5)} <= set(want)
+    got = decontaminate.find_leaks(docs_of(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]): r["edits"] for r in got}.items() <= want.items()
+    assert len(got) >= decontaminate.RECALL * len(want)
+    for r in got:
+        m = sizes[r["item_id"]]
+        assert r["similarity"] == pytest.approx(1 - r["edits"] / m)
+        assert decontaminate.edit_distance(coded(whole[r["item_id"]]), coded(texts[r["doc_id"]])[r["place"] :]) == r["edits"]
+
+
+def test_closest_part_and_plan():
+    rng = random.Random(4)
+    for _ in range(200):
+        a, b = ([rng.randrange(4) for _ in range(rng.randint(lo, 9))] for lo in (1, 0))
+        edits, start = decontaminate.closest_part(np.array(a, np.uint64), np.array(b, np.uint64))
+        assert edits == decontaminate.edit_distance(np.array(a, np.uint64), np.array(b, np.uint64))
+        assert decontaminate.closest_part(np.array(a, np.uint64), np.array(b[start:], np.uint64)) == (edits, 0)
+        assert decontaminate.may_be_near(np.array(a, np.uint64), np.array(b, np.uint64), edits)
+    assert not decontaminate.may_be_near(np.array([1, 1, 2], np.uint64), np.array([1, 2, 3], np.uint64), 0)
+    walks, _ = decontaminate.plan(decontaminate.SIMILARITY)
+    assert decontaminate.plan(0.7)[0] > walks  # a wider limit takes more tables
+
+
 def plain_licence(text, threshold=licenses.THRESHOLD):
     """Every segment against every template, without bounds."""
     import re
