@@ -27,11 +27,11 @@ THRESHOLD = 0.95
 class Tables:
     """``tables`` hash tables of ``projections`` projections each, quantised to ``width``.
 
-    With the defaults a pair at cosine 0.95 shares a bucket with probability 0.99, a closer
+    With the defaults a pair at cosine 0.95 shares a bucket with probability 0.99999, a closer
     one more surely; unrelated vectors share one table's bucket with probability 0.0007.
     """
 
-    tables: int = 16
+    tables: int = 40
     projections: int = 10
     width: float = 2.0
     seed: int = 17
@@ -67,13 +67,14 @@ def near_vectors(
     of its own group; what leaves a pair of blocks is a link count and a spanning forest.
     """
     id_kind = df.schema[id_col].dataType.simpleString()
+    kind = np.float32 if df.schema[vector_col].dataType.simpleString() == "array<float>" else np.float64  # in which vectors travel
     rows = df.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     sound = F.coalesce(F.col("id").isNotNull() & finite & F.exists("v", lambda x: x != 0), F.lit(False))
     keyed = cut(rows.select("id", F.when(sound, F.col("v")).alias("v")).withColumn("h", F.when(F.col("v").isNotNull(), F.xxhash64("v"))).withColumn("h2", F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(3), "v"))))
     classes = keyed.filter("v is not null").groupBy("h", "h2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     heads = keyed.join(classes, ["h", "h2"]).filter("id = rep").dropDuplicates(["h", "h2"])
-    node_schema = pa.schema([("bucket", pa.int64()), ("tab", pa.int32()), ("node", pa.int64()), ("rep", pa.int64()), ("copies", pa.int64()), ("unit", pa.binary()), ("codes", pa.binary())])
+    node_schema = pa.schema([("bucket", pa.int64()), ("tab", pa.int32()), ("node", pa.int64()), ("rep", pa.int64()), ("copies", pa.int64()), ("vector", pa.binary()), ("codes", pa.binary())])
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,18 +84,16 @@ def near_vectors(
             for length in np.unique(lengths):
                 own = np.flatnonzero(lengths == length)
                 ends = np.cumsum(lengths)[own]
-                unit = values[(ends - length)[:, None] + np.arange(length)]
-                unit = unit / np.abs(unit).max(axis=1, keepdims=True)
-                unit = unit / np.sqrt((unit * unit).sum(axis=1, keepdims=True))
-                codes = tables.codes(unit)
+                vector = values[(ends - length)[:, None] + np.arange(length)]
                 for lo in range(0, len(own), 256):
                     part = own[lo : lo + 256]
                     n, t = len(part), tables.tables
-                    raw, raw_codes = [x.tobytes() for x in unit[lo : lo + 256]], [x.tobytes() for x in codes[lo : lo + 256]]
+                    codes = tables.codes(_units(vector[lo : lo + 256]))
+                    raw, raw_codes = [x.tobytes() for x in vector[lo : lo + 256].astype(kind)], [x.tobytes() for x in codes]
                     again = np.repeat(np.arange(n), t)
                     yield rows_of(
                         node_schema,
-                        codes[lo : lo + 256].ravel(),
+                        codes.ravel(),
                         np.tile(np.arange(t, dtype=np.int32), n),
                         node.take(pa.array(part[again])),
                         rep.take(pa.array(part[again])).cast(pa.int64()),
@@ -104,9 +103,9 @@ def near_vectors(
                     )
 
     tabled = heads.select("v", F.col("h").alias("node"), "rep", "copies").mapInArrow(
-        hashed, "bucket long, tab int, node long, rep long, copies long, unit binary, codes binary"
+        hashed, "bucket long, tab int, node long, rep long, copies long, vector binary, codes binary"
     )
-    dealt = block_pairs(tabled, ["tab", "bucket"], "node", block).select("tab", "bucket", "lo", "hi", "part", "node", "rep", "copies", "unit", "codes")
+    dealt = block_pairs(tabled, ["tab", "bucket"], "node", block).select("tab", "bucket", "lo", "hi", "part", "node", "rep", "copies", "vector", "codes")
     dealt = dealt.repartition("tab", "bucket", "lo", "hi").sortWithinPartitions("tab", "bucket", "lo", "hi", "part")
     found_schema = pa.schema([("rep", pa.int64()), ("other", pa.int64()), ("n", pa.int64())])
 
@@ -114,14 +113,14 @@ def near_vectors(
         for table, bounds in groups_of(batches, 4):
             tab, lo, hi, part = (table.column(c).to_numpy() for c in ("tab", "lo", "hi", "part"))
             rep, copies = table.column("rep").to_numpy(), table.column("copies").to_numpy()
-            units, codes = table.column("unit").combine_chunks(), table.column("codes").combine_chunks()
+            vectors, codes = table.column("vector").combine_chunks(), table.column("codes").combine_chunks()
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                 if b - a < 2:
                     continue
                 split = a + int(np.searchsorted(part[a:b], hi[a])) if lo[a] != hi[a] else a
                 if split == a != b and lo[a] != hi[a] or split == b:
                     continue
-                yield from _links(units, codes, rep, copies, int(tab[a]), a, split, b, threshold, found_schema)
+                yield from _links(vectors, kind, codes, rep, copies, int(tab[a]), a, split, b, threshold, found_schema)
 
     found = cut(dealt.mapInArrow(compare, "rep long, other long, n long"))
     counts = found.groupBy("rep").agg(F.sum("n").alias("n"))
@@ -141,13 +140,18 @@ def near_vectors(
     return out.withColumn("kept", kept).withColumn("id", F.col("id").cast(id_kind)).withColumnRenamed("id", id_col)
 
 
-def _links(units: pa.Array, codes: pa.Array, rep: np.ndarray, copies: np.ndarray, tab: int, a: int, split: int, b: int, threshold: float, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _units(vectors: np.ndarray) -> np.ndarray:
+    vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
+
+
+def _links(vectors: pa.Array, kind: type, codes: pa.Array, rep: np.ndarray, copies: np.ndarray, tab: int, a: int, split: int, b: int, threshold: float, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Links of one pair of blocks: rows a..split against split..b, or all of a..b where split is a."""
 
     def matrix(array: pa.Array, lo: int, hi: int, kind: type) -> list[np.ndarray]:
         return [np.frombuffer(x.as_buffer(), kind) for x in array[lo:hi]]
 
-    vectors = matrix(units, a, b, np.float64)
+    vectors = matrix(vectors, a, b, kind)
     code = np.stack(matrix(codes, a, b, np.int64))
     dims = np.array([len(v) for v in vectors])
     if (dims != dims[0]).any():  # a bucket of vectors of several lengths: compare like with like
@@ -156,14 +160,20 @@ def _links(units: pa.Array, codes: pa.Array, rep: np.ndarray, copies: np.ndarray
             wide[i, : len(v)] = v
         vectors = wide
     else:
-        vectors = np.stack(vectors)
+        vectors = np.stack(vectors).astype(np.float64)
+    vectors = _units(vectors)
     cosines = vectors[: split - a] @ vectors[split - a :].T if split > a else vectors @ vectors.T
     rows, cols = (slice(0, split - a), slice(split - a, b - a)) if split > a else (slice(0, b - a), slice(0, b - a))
     link = (cosines >= threshold) & (dims[rows][:, None] == dims[cols][None, :])
     if split == a:
         link &= np.tri(b - a, k=-1, dtype=bool)
-    for t in range(tab):  # pairs that an earlier table has counted
-        link &= code[rows, t][:, None] != code[cols, t][None, :]
+    i, j = np.nonzero(link)
+    if len(i) < 1 << 14:  # without pairs that an earlier table has counted
+        again = (code[rows][i, :tab] == code[cols][j, :tab]).any(axis=1)
+        link[i[again], j[again]] = False
+    else:
+        for t in range(tab):
+            link &= code[rows, t][:, None] != code[cols, t][None, :]
     i, j = np.nonzero(link)
     if not len(i):
         return

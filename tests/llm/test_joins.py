@@ -147,6 +147,25 @@ def test_recall_with_production_tables(spark):
     assert 0.9 * true <= found <= true
 
 
+def test_default_tables_find_pairs_close_to_the_threshold(spark):
+    rng = np.random.default_rng(12)
+    u = rng.standard_normal((3000, 64))
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    w = rng.standard_normal(u.shape)
+    w -= (w * u).sum(axis=1, keepdims=True) * u
+    w /= np.linalg.norm(w, axis=1, keepdims=True)
+    c = rng.uniform(0.95, 0.97, (len(u), 1))
+    m = np.concatenate([u, c * u + np.sqrt(1 - c * c) * w]).astype(np.float32)
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(m.tolist())], "vec_id long, embedding array<float>")
+    m = m.astype(float)
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    a, b = np.nonzero(np.triu(m @ m.T >= 0.95, 1))
+    assert len(a) > 2900
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in near_vectors.near_vectors(frame).collect()}
+    degree, want = np.bincount(np.concatenate([a, b]), minlength=len(m)), closed(range(len(m)), list(zip(a.tolist(), b.tolist())))
+    assert got == {i: (degree[i], want[i]) for i in range(len(m))}
+
+
 def test_pipeline_stages(spark, docs_of):
     import corpus_pipeline
 
