@@ -55,9 +55,10 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark."""
-    leaks = find_leaks(docs, read(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(leaks, "doc_id", "left_anti").select(*COLUMNS)
+    """Documents that hold no item of the benchmark; rows with a null id are told apart by their texts."""
+    keyed = docs.select(*COLUMNS, F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.sha2("text", 256))).alias("key"))
+    leaks = find_leaks(keyed, read(spark, sf_dir, "benchmark"), id_col="key").select("key").distinct()
+    return keyed.join(leaks, "key", "left_anti").select(*COLUMNS)
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -189,6 +189,119 @@ def test_pipeline_stages(spark, docs_of):
     assert out.columns == ["doc_id", "piece_ids", "n_pieces"] and 0 < out.count() < before
 
 
+def plain_languages(rows):
+    """The rows whose language plain naive Bayes finds with a probability of at least 0.5."""
+    import math
+    import zlib
+    from collections import Counter
+
+    steps = [0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D]
+
+    def buckets(text):
+        codes = [ord(c) for c in (text or "").lower()]
+        for n in (1, 2, 3):
+            for at in range(len(codes) - n + 1):
+                total = n * 0x3243F6A9 & 0xFFFFFFFF
+                for i in range(n):
+                    total = (total + codes[at + i] * steps[i]) & 0xFFFFFFFF
+                    total ^= total >> 15
+                    total = total * 0x2C1B3C6D & 0xFFFFFFFF
+                yield total >> 16
+
+    train = [r for r in rows if zlib.crc32(b"" if r[0] is None else str(r[0]).encode()) % 4 != 2 and r[2] is not None]
+    counts, prior = {r[2]: Counter() for r in train}, Counter(r[2] for r in train)
+    for r in train:
+        counts[r[2]].update(buckets(r[1]))
+    left = []
+    for r in rows:
+        own = Counter(buckets(r[1]))
+        total = [
+            math.log(prior[x] / len(train)) + sum(k * math.log((counts[x][g] + 0.5) / (counts[x].total() + 0.5 * 65536)) for g, k in own.items())
+            for x in sorted(counts)
+        ]
+        share = 1 / sum(math.exp(t - max(total)) for t in total)
+        if any(c.isalpha() for c in r[1] or "") and share >= 0.5:
+            left.append(r)
+    return left
+
+
+def plain_leaks(text, items):
+    """Whether any part of the text is within the edit limit of an item, by a plain table of edits."""
+    import re
+
+    w = lambda t: re.findall(r"[0-9A-Za-z\u0080-\U0010ffff]+", (t or "").lower())
+    have = w(text)
+    for item in map(w, items):
+        line = [0] * (len(have) + 1)
+        for x in item:
+            after = [line[0] + 1]
+            for j, y in enumerate(have):
+                after.append(min(after[-1] + 1, line[j + 1] + 1, line[j] + (x != y)))
+            line = after
+        if item and min(line) <= int(len(item) * 0.2 + 1e-9):
+            return True
+    return False
+
+
+def test_pipeline_equals_a_plain_chain(spark, tmp_path):
+    import corpus_pipeline
+    from hirelens.llm import token_counts
+
+    from .test_text_scans import plain_lines
+    from .test_tokenizers import brute
+
+    rng = random.Random(21)
+    vocabulary = {
+        "en": [a + b for a in ("th", "wh", "str", "ing", "ough") for b in ("at", "ere", "ee", "ow", "ack", "ight")],
+        "de": [a + b for a in ("sch", "pf", "zw", "ung", "ei") for b in ("ä", "und", "icht", "ü", "ach", "aß")],
+    }
+    words = lambda lang, n: [rng.choice(vocabulary[lang]) + str(rng.randrange(30)) for _ in range(n)]
+    items = [" ".join(words("en", n)) for n in (15, 30, 59, 130)]
+    common = "a line of at least forty characters that many documents share"
+    rows = []
+    for i in range(40):
+        lang = "de" if i % 3 == 0 else "en"
+        lines = [" ".join(words(lang, rng.randint(4, 25))) for _ in range(rng.randint(1, 4))]
+        if i % 5 == 0:
+            lines.insert(rng.randrange(len(lines) + 1), common)
+        rows.append((100 + i, "\n".join(lines), lang))
+    for i in range(8):  # near copies, some with a smaller id, and exact ones
+        part = rows[i * 4][1].split(" ")
+        if i % 2 and len(part) > 40:
+            part[rng.randrange(len(part))] = "other"
+        rows.append((90 + i if i % 3 else 300 + i, " ".join(part), rows[i * 4][2]))
+    for i, item in enumerate(items):  # leaks, whole, edited, halved, and without an id
+        edited = item.split()
+        for p in rng.sample(range(len(edited)), len(edited) // 10):
+            edited[p] = "other"
+        for k, part in enumerate((item.upper(), " ".join(edited), " ".join(item.split()[: len(edited) // 2]))):
+            rows.append((400 + 10 * i + k, " ".join([*words("en", 20), part, *words("en", 9)]), "en"))
+    rows += [
+        (None, " ".join([*words("en", 12), items[1], *words("en", 5)]), "en"), (None, " ".join(words("de", 20)), "de"), (None, None, None),
+        (500, None, "en"), (501, "", "de"), (502, "12 34 !!", "en"), (503, common, "en"), (504, f"{common}\n{common}", "en"), (999, common.upper(), "en"),
+        (505, " ".join(words("de", 30)), None), (506, " ".join(words("de", 25)), "en"), rows[3],
+    ]
+    left = plain_languages(rows)
+    assert {500, 501, 502}.isdisjoint(r[0] for r in left)
+    cut = [(i, text) for i, _, dropped, text in plain_lines([r[:2] for r in left]) if not dropped or text.strip(" ")]
+    assert len(cut) < len(left) and 503 not in dict(cut)
+    own = [(i, sets(t)) for i, t in cut if i is not None]
+    links = [(i, j) for k, (i, x) in enumerate(own) for j, y in own[k + 1 :] if x and y and 100 * len(x & y) >= 75 * len(x | y)]
+    least = closed({i for i, _ in own}, links)
+    once = [r for r in cut if r[0] is None or least[r[0]] == r[0]]
+    assert len(once) < len(cut)
+    leaked = [r for r in once if plain_leaks(r[1], items)]
+    assert len(leaked) == 9 and any(i is None for i, _ in leaked)
+    table, by_byte = token_counts.load_pieces(queries.tokenizer())
+    want = [(i, brute(t, table, by_byte) if t else []) for i, t in once if (i, t) not in leaked]
+    docs = [(i, t, lang, "src", len(t or "")) for i, t, lang in rows]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(((r["doc_id"], list(r["piece_ids"])) for r in got), key=str) == sorted(want, key=str)
+    assert all(r["n_pieces"] == len(r["piece_ids"]) for r in got)
+
+
 @pytest.mark.parametrize("stage", ["language_id", "line_dedup", "ngram_jaccard_join", "benchmark_decontamination", "sentencepiece"])
 def test_stages_take_odd_rows(spark, docs_of, empty_docs, stage):
     import corpus_pipeline
