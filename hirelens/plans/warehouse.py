@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..quality import FEATURE_CHECKS, MART_CHECKS, MART_EXPECTATIONS, OWN_CHECKS, STAGING_CHECKS, gate, run_suite
 from ..schemas import CONTRACT
 from ..sources import Frames, Tables, at_once, land_raw
+from ..sources.contract import FREE_TEXT
 from . import dims, facts, features, intermediate
 from .staging import stage_all
 
@@ -114,18 +115,20 @@ class Warehouse:
 
 
 def build(
-    spark: SparkSession, src: str, tables: Tables, strict: bool = True, force: bool = False
+    spark: SparkSession, src: str, tables: Tables, strict: bool = True, force: bool = False,
+    multi_line: Collection[str] = FREE_TEXT,
 ) -> dict[str, int] | None:
     """Land, clean, join and check; the rows landed, or None when already built.
 
     With ``strict`` a failed check stops the build before anything that depends
     on the table is written; the build then counts as not done, and the next call
-    builds and checks again.
+    builds and checks again. Tables in ``multi_line`` may hold line breaks inside quotes; each
+    of their files is read by one task, so large ones come in many part files.
     """
     if not force and tables.is_built():
         return None
     tables.mark_built(False)
-    landed = land_raw(spark, src, tables)
+    landed = land_raw(spark, src, tables, multi_line)
     house = Warehouse(spark, _raw(tables), tables)
     for name, df in house.staged().items():
         tables.view(df, name)

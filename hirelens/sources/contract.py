@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -26,7 +26,10 @@ def read_contract_csv(spark: SparkSession, src: str, table: str, multi_line: boo
 
     Quotes inside quoted fields are doubled. With ``multi_line`` a quoted field may hold line
     breaks, and a file is then read by one task; the default is so for tables with free text
-    only, others split across tasks. Empty fields read as null, quoted or not.
+    only, others split across tasks. A large table with free text is given as a folder
+    ``<table>.csv`` of many part files, each with a header, which are read by a task each, or,
+    if its texts hold no line breaks, read with ``multi_line=False``. Empty fields read as null,
+    quoted or not.
     """
     return spark.read.schema(CONTRACT[table]).csv(
         _path(src, table), header=True, enforceSchema=True, mode="FAILFAST", dateFormat="yyyy-MM-dd",
@@ -48,10 +51,14 @@ def require_inputs(spark: SparkSession, src: str) -> None:
         raise FileNotFoundError(f"missing contract files: {', '.join(missing)}")
 
 
-def land_raw(spark: SparkSession, src: str, tables: Tables) -> dict[str, int]:
-    """Reload the seven raw tables from CSV; rows per table and in total."""
+def land_raw(spark: SparkSession, src: str, tables: Tables, multi_line: Collection[str] = FREE_TEXT) -> dict[str, int]:
+    """Reload the seven raw tables from CSV; rows per table and in total.
+
+    Files of the tables in ``multi_line`` may hold line breaks inside quotes and are read by one
+    task each; see ``read_contract_csv``. Without such line breaks pass ``()``, and all files split.
+    """
     require_inputs(spark, src)
-    return land({table: read_contract_csv(spark, src, table) for table in CONTRACT}, tables)
+    return land({table: read_contract_csv(spark, src, table, table in multi_line) for table in CONTRACT}, tables)
 
 
 def land(frames: Mapping[str, DataFrame], tables: Tables) -> dict[str, int]:

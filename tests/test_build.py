@@ -10,7 +10,7 @@ from hirelens.plans.kpi import kpi_summary, kpi_view
 from hirelens.plans.warehouse import MARTS, build, open_warehouse
 from hirelens.quality import QualityGateError
 from hirelens.schemas import CONTRACT
-from hirelens.sources import Tables, layer_name, read_contract_csv, row_counts, write_csv
+from hirelens.sources import Tables, land_raw, layer_name, read_contract_csv, row_counts, write_csv
 
 from .rows import ROWS, warehouse
 
@@ -145,3 +145,23 @@ def test_csv_keeps_quotes_line_breaks_and_spaces(spark, tmp_path):
     write_csv(planted, str(tmp_path / "again" / "interviews.csv"))
     back = read_contract_csv(spark, str(tmp_path / "again"), "interviews")
     assert sorted((r["interview_id"], r[text]) for r in back.collect()) == [(w["interview_id"], w[text]) for w in want]
+
+
+def test_large_free_text_is_landed_by_many_tasks(spark, tmp_path):
+    many = [(f"I{i}", *CLEAN.get("interviews", ROWS["interviews"])[0][1:]) for i in range(2000)]
+    whole = write_inputs(tmp_path / "whole", **{**CLEAN, "interviews": many})
+    parts = write_inputs(tmp_path / "parts", **CLEAN)
+    os.remove(f"{parts}/interviews.csv")
+    write_csv(read_contract_csv(spark, whole, "interviews").repartition(5), f"{parts}/interviews.csv")
+
+    def landed(src, name, **options):
+        tables = Tables(spark, str(tmp_path / name))
+        assert land_raw(spark, src, tables, **options)["interviews"] == len(many)
+        return len(tables.read("raw", "interviews").inputFiles())
+
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        assert landed(whole, "a") == 1 < landed(whole, "b", multi_line=()) and landed(parts, "c") == 5
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
