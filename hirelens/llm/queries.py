@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, licenses, lines, near_vectors, pieces, quality, shingle_join, token_counts, toxicity
+from . import decontaminate, language, licenses, lines, merkle, near_vectors, pieces, quality, shingle_join, token_counts, toxicity
 from .common import crc_mod, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.document_proofs(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_embedding_near_dedup": op1_embedding_near_dedup,
@@ -91,6 +95,7 @@ def queries() -> dict[str, Query]:
         "op8_decontamination": op8_decontamination,
         "op9_line_dedup": op9_line_dedup,
         "op10_license_scan": op10_license_scan,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
@@ -122,6 +127,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_embedding_near_dedup": EMBEDDING_SQL,
         "op4_ngram_jaccard_join": JACCARD_SQL,
         "op9_line_dedup": LINE_DEDUP_SQL,
+        "op13_merkle_manifest": MERKLE_SQL,
     }
 
 
@@ -167,3 +173,74 @@ reach as (
 select s.doc_id, cast(len(s.s) as bigint) as n_shingles, coalesce(f.component, s.doc_id) as component_id
 from sets s left join found f on f.node = s.doc_id
 """
+
+# Levels of the sources' trees are hashed until one node is left, then the sources' subroots alike.
+# A path holds the siblings as (left, right) texts; the CRC runs over the bits of the id's digits.
+MERKLE_SQL = r"""
+with recursive fields as (
+    select doc_id, source, text,
+           case when doc_id is null then '-' else strlen(doc_id::varchar) || ':' || doc_id end
+           || case when source is null then '-' else strlen(source) || ':' || source end
+           || case when lang is null then '-' else strlen(lang) || ':' || lang end
+           || case when n_chars is null then '-' else strlen(n_chars::varchar) || ':' || n_chars end as head
+    from documents
+), hashed as (
+    select doc_id, source, sha256(head || case when text is null then '-' else strlen(text) || ':' || text end) as leaf,
+           sha256(head || case when text is null then '-'
+                  else strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), '') end) as other,
+           list_reduce(flatten(list_transform(range(1, length(doc_id::varchar) + 1),
+                lambda i: list_transform(range(0, 8), lambda k: (ascii(substr(doc_id::varchar, i, 1)) >> k) & 1))),
+                lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)), 4294967295::bigint) as crc
+    from fields
+), leaves as (
+    select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as pos,
+           count(*) over (partition by source) as n from hashed
+), nodes as (
+    select source, 0 as level, pos, n, leaf as digest from leaves
+    union all
+    select source, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' order by pos))
+    from nodes where n > 1 group by source, level, pos // 3, n
+), subroots as (
+    select source, digest, row_number() over (order by source is not null, encode(source)) - 1 as pos, count(*) over () as n
+    from nodes where n = 1
+), tops as (
+    select 0 as level, pos, n, digest from subroots
+    union all
+    select level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' order by pos))
+    from tops where n > 1 group by level, pos // 3, n
+), climbs as (
+    select l.doc_id, l.source, l.pos as leaf_pos, l.leaf, 0 as level, l.pos, [] :: struct(a varchar, b varchar)[] as path from leaves l
+    union all
+    select c.doc_id, c.source, c.leaf_pos, c.leaf, c.level + 1, c.pos // 3, list_append(c.path, {'a': coalesce(
+             (select string_agg(x.digest, '' order by x.pos) from nodes x where x.source is not distinct from c.source
+              and x.level = c.level and x.pos // 3 = c.pos // 3 and x.pos < c.pos), ''), 'b': coalesce(
+             (select string_agg(x.digest, '' order by x.pos) from nodes x where x.source is not distinct from c.source
+              and x.level = c.level and x.pos // 3 = c.pos // 3 and x.pos > c.pos), '')})
+    from climbs c join nodes m on m.source is not distinct from c.source and m.level = c.level and m.pos = c.pos and m.n > 1
+), high as (
+    select pos as top_pos, 0 as level, pos, [] :: struct(a varchar, b varchar)[] as path from subroots
+    union all
+    select h.top_pos, h.level + 1, h.pos // 3, list_append(h.path, {'a': coalesce(
+             (select string_agg(x.digest, '' order by x.pos) from tops x
+              where x.level = h.level and x.pos // 3 = h.pos // 3 and x.pos < h.pos), ''), 'b': coalesce(
+             (select string_agg(x.digest, '' order by x.pos) from tops x
+              where x.level = h.level and x.pos // 3 = h.pos // 3 and x.pos > h.pos), '')})
+    from high h join tops m on m.level = h.level and m.pos = h.pos and m.n > 1
+), whole as (
+    select l.doc_id, l.leaf, s.digest as subroot, (select digest from tops where n = 1) as root,
+           list_concat(c.path, h.path) as path,
+           case when xor(l.crc, 4294967295) % 2 = 0 then l.other else l.leaf end as start
+    from leaves l
+    join (select * from climbs qualify level = max(level) over (partition by source)) c
+      on c.source is not distinct from l.source and c.leaf_pos = l.pos
+    join subroots s on s.source is not distinct from l.source
+    join (select * from high qualify level = max(level) over ()) h on h.top_pos = s.pos
+), folded as (
+    select *, list_reduce(list_prepend({'a': start, 'b': ''}, path),
+                          lambda x, y: {'a': sha256(y.a || x.a || y.b), 'b': ''}).a as folded_root from whole
+)
+select doc_id, leaf, subroot, root,
+       sha256(array_to_string(list_transform(path, lambda p: p.a || p.b), '')) as proof_sha256,
+       folded_root, folded_root = root as verified
+from folded
+"""
