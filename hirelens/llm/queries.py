@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, licenses, lines, merkle, near_vectors, pieces, quality, shingle_join, token_counts, toxicity
+from . import align, decontaminate, language, licenses, lines, merkle, near_vectors, pieces, quality, shingle_join, token_counts, toxicity
 from .common import crc_mod, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 MODEL = "piece_bpe_32k.model"
+BYTE_LEVEL = "byte_bpe_50k.json"
 TOKEN_LIMIT = 4096
 
 
@@ -79,6 +80,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read(spark, sf_dir, "documents"))
 
 
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(read(spark, sf_dir, "documents"), tokenizer(BYTE_LEVEL), tokenizer()).documents
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.document_proofs(read(spark, sf_dir, "documents"))
 
@@ -95,6 +100,7 @@ def queries() -> dict[str, Query]:
         "op8_decontamination": op8_decontamination,
         "op9_line_dedup": op9_line_dedup,
         "op10_license_scan": op10_license_scan,
+        "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
         "op13_merkle_manifest": op13_merkle_manifest,
     }
 
