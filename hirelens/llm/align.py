@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,7 @@ BUCKETS = 16
 DENSE = CONTAINER // 16  # as many 16-bit numbers take what a bitmap takes
 MEMO_CHUNKS = 300_000
 MEMO_BYTES = 1 << 24  # of chunk texts
+MAX_ID = 1 << 18
 SLICE = 1 << 20
 MARK = "▁"
 
@@ -142,12 +144,14 @@ class Aligned:
 
     def __init__(self, a: ByteLevel, b: Pieces):
         self.a, self.b = a, b
+        if max(len(a.vocabulary.size), len(b.vocabulary.size)) > MAX_ID:
+            raise ValueError(f"vocabularies may have {MAX_ID} ids")
         self.clear()
 
     def clear(self) -> None:
         self.keys, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.numbers = np.zeros((0, 4), np.int64)  # tokens of A, of B, groups, whether both spell the chunk
-        self.groups: list[str] = []
+        self.groups: list[bytes] = []
         self.pairs, self.pair_at = np.zeros(0, np.int64), np.zeros(1, np.int64)
         self.held = 0
 
@@ -178,7 +182,7 @@ class Aligned:
         for coder in (self.a, self.b):
             ids = coder.encode(texts)
             count = np.array([len(i) for i in ids], np.int64)
-            flat = np.fromiter((x for i in ids for x in i), np.int64, int(count.sum()))
+            flat = np.fromiter(chain.from_iterable(ids), np.int64, int(count.sum()))
             coded.append((coder.vocabulary, ids, count, flat))
         alike = np.ones(len(raw), bool)
         for vocabulary, _, count, flat in coded:
@@ -193,40 +197,49 @@ class Aligned:
                 spell = vocabulary.spell(flat).tobytes()
                 same &= np.array([spell[u - s : u] == t for u, s, t in zip(up_to, spelled, raw)])
             alike &= same
-        (_, ids_a, n_a, _), (_, ids_b, n_b, _) = coded
-        groups, numbers, pairs, pair_n = [], np.zeros((len(raw), 4), np.int64), [], np.zeros(len(raw), np.int64)
-        size_a, size_b = self.a.vocabulary.size.tolist(), self.b.vocabulary.size.tolist()
-        for i in range(len(raw)):
-            text, n = "", 0
-            if alike[i]:
-                text, linked = _align(ids_a[i], ids_b[i], size_a, size_b)
-                n = len(linked)
-                pairs += linked
-                numbers[i] = n_a[i], n_b[i], n, 1
-            groups.append(text)
-            pair_n[i] = n
-        self.groups += groups
-        self.numbers = np.concatenate([self.numbers, numbers])
-        self.pairs = np.concatenate([self.pairs, np.array(pairs, np.int64)])
-        self.pair_at = np.concatenate([self.pair_at, self.pair_at[-1] + np.cumsum(pair_n)])
-
-
-def _align(a: list[int], b: list[int], size_a: list[int], size_b: list[int]) -> tuple[str, list[int]]:
-    """The groups between common ends, as text, and the pairs of tokens that end there together."""
-    groups, pairs = [], []
-    i = j = first_i = first_j = end_a = end_b = 0
-    while i < len(a) or j < len(b):
-        if end_a <= end_b and i < len(a):
-            end_a += size_a[a[i]]
-            i += 1
-        else:
-            end_b += size_b[b[j]]
-            j += 1
-        if end_a == end_b:
-            groups.append(",".join(map(str, a[first_i:i])) + "|" + ",".join(map(str, b[first_j:j])))
-            pairs.append(a[i - 1] << 32 | b[j - 1])
-            first_i, first_j = i, j
-    return ";".join(groups), pairs
+        where = ends - sizes
+        a, b = (_Tokens.of(v, count, flat, where, alike) for v, _, count, flat in coded)
+        common = np.intersect1d(a.end, b.end, assume_unique=True)
+        linked_a, linked_b = np.isin(a.end, common), np.isin(b.end, common)
+        n = np.bincount(a.chunk[linked_a], minlength=len(raw))
+        self.groups += _group_texts(a, b, common, n)
+        numbers = np.stack([coded[0][2], coded[1][2], n, np.ones(len(raw), np.int64)], axis=1)
+        self.numbers = np.concatenate([self.numbers, numbers * alike[:, None]])
+        self.pairs = np.concatenate([self.pairs, a.id[linked_a] << 32 | b.id[linked_b]])
+        self.pair_at = np.concatenate([self.pair_at, self.pair_at[-1] + np.cumsum(n)])
+
+
+@dataclass
+class _Tokens:
+    """Tokens of many chunks: id, chunk, and where each ends in the chunks' joined bytes."""
+
+    id: np.ndarray
+    chunk: np.ndarray
+    end: np.ndarray
+
+    @staticmethod
+    def of(vocabulary: Vocabulary, count: np.ndarray, flat: np.ndarray, where: np.ndarray, keep: np.ndarray) -> _Tokens:
+        chunk = np.repeat(np.arange(len(count)), count)
+        up_to = np.concatenate([[0], np.cumsum(vocabulary.size[flat])])
+        before = up_to[np.cumsum(count) - count]
+        end = up_to[1:] - before[chunk] + where[chunk]
+        kept = keep[chunk]
+        return _Tokens(flat[kept], chunk[kept], end[kept])
+
+
+def _group_texts(a: _Tokens, b: _Tokens, common: np.ndarray, groups: np.ndarray) -> list[bytes]:
+    """`a1,a2|b1;a3|b2,b3` for each chunk; ``groups`` is how many it has."""
+    side = np.concatenate([2 * np.searchsorted(common, a.end), 2 * np.searchsorted(common, b.end) + 1])
+    order = np.argsort(side, kind="stable")
+    ids, side = np.concatenate([a.id, b.id])[order], side[order]
+    numbers = kept_in_process("ids as text", lambda: Vocabulary([b"%d," % i for i in range(MAX_ID)]))
+    written, ends = numbers.spell(ids), np.cumsum(numbers.size[ids])
+    last = np.append(side[1:] != side[:-1], np.ones(min(1, len(side)), bool))
+    written[ends[last] - 1] = np.where(side[last] & 1, ord(";"), ord("|"))
+    group_end = np.concatenate([[0], ends[last & (side & 1 == 1)]])
+    upto = np.concatenate([[0], group_end[np.cumsum(groups)]])
+    text = written.tobytes()
+    return [text[i : max(i, j - 1)] for i, j in zip(upto[:-1].tolist(), upto[1:].tolist())]
 
 
 # ---- bitmaps --------------------------------------------------------------------
@@ -421,7 +434,7 @@ def _aligned_texts(memo: Aligned, texts: Texts) -> _Found:
     numbers[~sound] = 0
     names = memo.groups
     groups = [
-        hashlib.sha256(";".join([names[r] for r in rows[a:b].tolist()]).encode()).hexdigest() if ok and b > a else ""
+        hashlib.sha256(b";".join([names[r] for r in rows[a:b].tolist()])).hexdigest() if ok and b > a else ""
         for a, b, ok in zip(bounds[:-1].tolist(), bounds[1:].tolist(), sound.tolist())
     ]
     text_of = np.repeat(np.arange(len(texts)), np.diff(bounds))
