@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import align, decontaminate, language, licenses, lines, merkle, near_vectors, pieces, quality, shingle_join, token_counts, toxicity
+from . import align, decontaminate, language, licenses, lines, merkle, near_vectors, pieces, private, quality, shingle_join, token_counts, toxicity
 from .common import crc_mod, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read(spark, sf_dir, "documents"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = private.find_private(read(spark, sf_dir, "documents"))
+    counts = [f"n_{kind}" for kind in private.KINDS]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(read(spark, sf_dir, "documents"), tokenizer(BYTE_LEVEL), tokenizer()).documents
 
@@ -100,6 +106,7 @@ def queries() -> dict[str, Query]:
         "op8_decontamination": op8_decontamination,
         "op9_line_dedup": op9_line_dedup,
         "op10_license_scan": op10_license_scan,
+        "op11_personal_data": op11_personal_data,
         "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
         "op13_merkle_manifest": op13_merkle_manifest,
     }
