@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import hashlib
 from collections.abc import Callable
 from functools import partial, reduce
 
@@ -44,7 +45,7 @@ from hirelens.scoring import (
     score_open_requisitions,
 )
 from hirelens.session import configure, shared_dir
-from hirelens.sources import Frames, Tables, read_contract_csv, row_counts, write_csv
+from hirelens.sources import Frames, Tables, read_contract_csv, row_counts, signature, write_csv
 from hirelens.sources.tpch_binding import Binding
 from oracle import oracle_sql as _oracle_sql
 
@@ -59,20 +60,22 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = datetime.date(2025, 3, 1)
 
 
-_houses: dict[tuple[str, str, bool], Warehouse] = {}
+_houses: dict[tuple, Warehouse] = {}
+DRIVER_TABLES = ("customer", "part", "orders", "lineitem")
 
 
 def _house(spark: SparkSession, sf_dir: str, dirty: bool = False) -> Warehouse:
-    """The warehouse over a driver directory, landed once per session.
+    """The warehouse over a driver directory, landed once per session and state of its files.
 
     Contract tables are written to the shared folder first, as a load would
     leave them; intermediates and marts follow when a query first reads them.
     """
     configure(spark)
     session = spark.sparkContext.applicationId
-    key = (session, sf_dir, dirty)
+    files = signature(spark, *(f"{sf_dir.rstrip('/')}/{name}.parquet" for name in DRIVER_TABLES))
+    key = (session, sf_dir, dirty, files)
     if key not in _houses:
-        variant = sf_dir.strip("/").replace("/", "-") + ("-dirty" if dirty else "")
+        variant = hashlib.sha256(repr(key[1:]).encode()).hexdigest()[:16]
         tables = Tables(spark, f"{shared_dir(spark)}/{session}/{variant}")
         raw = Frames(tuple(CONTRACT), partial(_landed, Binding(spark, sf_dir, dirty).contract(), tables))
         _houses[key] = Warehouse(spark, raw, tables)
@@ -291,14 +294,15 @@ def _missing_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- models --------------------------------------------------------------------
 
-_trained: dict[tuple[str, str, str], TrainResult] = {}
+_trained: dict[tuple[str, str], TrainResult] = {}
 
 
 def _train(spark: SparkSession, sf_dir: str, spec: ModelSpec) -> TrainResult:
-    """One training per session, directory and model; several queries use it."""
-    key = (spark.sparkContext.applicationId, sf_dir, spec.name)
+    """One training per warehouse and model; several queries use it."""
+    house = _house(spark, sf_dir)
+    key = (house.tables.root, spec.name)
     if key not in _trained:
-        _trained[key] = train(_house(spark, sf_dir).table("mart_ml_features"), spec)
+        _trained[key] = train(house.table("mart_ml_features"), spec)
     return _trained[key]
 
 

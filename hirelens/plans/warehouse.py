@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import __version__
 from ..quality import FEATURE_CHECKS, MART_CHECKS, MART_EXPECTATIONS, OWN_CHECKS, STAGING_CHECKS, gate, run_suite
 from ..schemas import CONTRACT
-from ..sources import Frames, Tables, at_once, land_raw
+from ..sources import Frames, Tables, at_once, contract_frames, inputs_key, land
 from ..sources.contract import FREE_TEXT
 from . import dims, facts, features, intermediate
 from .staging import stage_all
@@ -67,6 +68,11 @@ class Warehouse:
         self.stored[name] = self.tables.write(self.plan(name), layer, name, (key,) if name in _BUCKETED else ())
         return self.stored[name]
 
+    def reopen(self, names: Collection[str]) -> None:
+        """Take tables as an earlier run stored them."""
+        for name in set(names) - set(self.stored):
+            self.stored[name] = self.tables.read("marts" if name in MARTS else "intermediate", name)
+
     def staged(self) -> Frames:
         return Frames([f"stg_{name}" for name in self.stg], lambda name: self.stg[name.removeprefix("stg_")])
 
@@ -116,43 +122,74 @@ class Warehouse:
 
 def build(
     spark: SparkSession, src: str, tables: Tables, strict: bool = True, force: bool = False,
-    multi_line: Collection[str] = FREE_TEXT,
+    multi_line: Collection[str] = FREE_TEXT, keep: int = 2,
 ) -> dict[str, int] | None:
-    """Land, clean, join and check; the rows landed, or None when already built.
-
-    With ``strict`` a failed check stops the build before anything that depends
-    on the table is written; the build then counts as not done, and the next call
-    builds and checks again. Tables in ``multi_line`` may hold line breaks inside quotes; each
-    of their files is read by one task, so large ones come in many part files.
+    """Land, clean, join, check and publish; the rows landed, or None when that is done already.
+
+    The build writes a new generation of tables. Readers (``open_warehouse``) keep the published
+    one, whole, until the new one has passed all its checks; with ``strict`` a failed check stops
+    the build before anything that depends on the table is written. After publishing, all but the
+    last ``keep`` published generations are removed.
+
+    Whether there is anything to do follows from the content of the inputs, not from file names
+    or times: one pass over them gives a fingerprint. An interrupted or failed build of the same
+    inputs resumes behind its last finished step; ``force`` starts anew. Tables in ``multi_line``
+    may hold line breaks inside quotes; each of their files is read by one task, so large ones
+    come in many part files.
     """
-    if not force and tables.is_built():
+    frames = contract_frames(spark, src, multi_line)
+    inputs = inputs_key(frames, strict=strict, version=__version__)
+    ledger = tables.ledger
+    pointer = ledger.current()
+    if not force and pointer is not None and pointer.inputs == inputs and tables.is_built():
         return None
-    tables.mark_built(False)
-    landed = land_raw(spark, src, tables, multi_line)
-    house = Warehouse(spark, _raw(tables), tables)
+    generation = ledger.begin(inputs, fresh=force)
+    fresh = tables.at(generation)
+    finished = ledger.steps(generation)
+
+    def step(name: str, work: Callable[[], object]) -> None:
+        if name not in finished:
+            work()
+            ledger.append(generation, name, inputs)
+
+    step("land", lambda: land(frames, fresh))
+    house = Warehouse(spark, _raw(fresh), fresh)
     for name, df in house.staged().items():
-        tables.view(df, name)
+        fresh.view(df, name)
     if strict:
-        gate(run_suite(house.staged(), STAGING_CHECKS))
-    at_once(house.store, ("int_application_funnel", "int_hire_pace"))
-    house.store("int_req_windows")
-    tables.view(house.plan("int_offer_outcomes"), "int_offer_outcomes")
-    at_once(house.store, [name for name in MARTS if name != FEATURE_MART])
+        step("check staging", lambda: gate(run_suite(house.staged(), STAGING_CHECKS)))
+    step("intermediate", lambda: _store(house, ("int_application_funnel", "int_hire_pace"), ("int_req_windows",)))
+    house.reopen(INTERMEDIATE)
+    fresh.view(house.plan("int_offer_outcomes"), "int_offer_outcomes")
+    facts = [name for name in MARTS if name != FEATURE_MART]
+    step("marts", lambda: _store(house, facts))
+    house.reopen(facts)
     if strict:
-        gate(run_suite(house.marts(), [*MART_CHECKS, *OWN_CHECKS]))
-        gate(run_suite(house.marts(), MART_EXPECTATIONS))
-    house.store(FEATURE_MART)
+        marts = [*MART_CHECKS, *OWN_CHECKS, *MART_EXPECTATIONS]
+        step("check marts", lambda: gate(run_suite(house.marts(), marts)))
+    step("features", lambda: _store(house, (FEATURE_MART,)))
+    house.reopen((FEATURE_MART,))
     if strict:
-        gate(run_suite(house.marts(), FEATURE_CHECKS))
-    tables.mark_built(True)
-    return landed
+        step("check features", lambda: gate(run_suite(house.marts(), FEATURE_CHECKS)))
+    landed = {name: df.count() for name, df in house.raw.items()}
+    fresh.publish(inputs, keep)
+    return {**landed, "total": sum(landed.values())}
+
+
+def _store(house: Warehouse, *groups: Collection[str]) -> None:
+    """Write tables, those of a group at once; a group may read the ones before it."""
+    for names in groups:
+        at_once(house.store, names)
 
 
 def open_warehouse(spark: SparkSession, tables: Tables) -> Warehouse:
-    """A finished build, read from storage."""
-    house = Warehouse(spark, _raw(tables), tables)
-    house.stored.update({name: tables.read("intermediate", name) for name in INTERMEDIATE})
-    house.stored.update({name: tables.read("marts", name) for name in MARTS})
+    """The published build, read from storage; an error when nothing is published.
+
+    A warehouse once opened stays at its generation, whatever is published meanwhile.
+    """
+    current = tables.current()
+    house = Warehouse(spark, _raw(current), current)
+    house.reopen({**INTERMEDIATE, **MARTS})
     return house
 
 

@@ -51,14 +51,21 @@ def require_inputs(spark: SparkSession, src: str) -> None:
         raise FileNotFoundError(f"missing contract files: {', '.join(missing)}")
 
 
+def contract_frames(
+    spark: SparkSession, src: str, multi_line: Collection[str] = FREE_TEXT
+) -> dict[str, DataFrame]:
+    """All contract tables of a folder; raises, naming every file that is missing."""
+    require_inputs(spark, src)
+    return {table: read_contract_csv(spark, src, table, table in multi_line) for table in CONTRACT}
+
+
 def land_raw(spark: SparkSession, src: str, tables: Tables, multi_line: Collection[str] = FREE_TEXT) -> dict[str, int]:
     """Reload the seven raw tables from CSV; rows per table and in total.
 
     Files of the tables in ``multi_line`` may hold line breaks inside quotes and are read by one
     task each; see ``read_contract_csv``. Without such line breaks pass ``()``, and all files split.
     """
-    require_inputs(spark, src)
-    return land({table: read_contract_csv(spark, src, table, table in multi_line) for table in CONTRACT}, tables)
+    return land(contract_frames(spark, src, multi_line), tables)
 
 
 def land(frames: Mapping[str, DataFrame], tables: Tables) -> dict[str, int]:

@@ -1,15 +1,18 @@
-"""Stored tables in four layers: raw, staging, intermediate, marts."""
+"""Stored tables in four layers: raw, staging, intermediate, marts; whole builds as generations."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import TypeVar
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from .files import remove
+from .ledger import PUBLISHED, REMOVED, Ledger
+
+LAYERS = ("raw", "intermediate", "marts")
 
 T = TypeVar("T")
 WRITERS = 4
@@ -56,14 +59,44 @@ class Tables:
 
     Catalog tables may be bucketed, so that marts joined on the same key later
     read without an exchange.
+
+    Without a ``generation`` tables have one place each. A build writes a generation of its own,
+    which readers don't see until it is published: the ledger's last ``published`` record is the
+    pointer they follow, and it is written after everything it points to.
     """
 
     spark: SparkSession
     root: str | None = None
     buckets: int | None = None
+    generation: str | None = None
+
+    @property
+    def ledger(self) -> Ledger:
+        folder = f"{self.root.rstrip('/')}/state/ledger" if self.root else None
+        return Ledger(self.spark, folder, "state.ledger")
+
+    def at(self, generation: str) -> Tables:
+        return replace(self, generation=generation)
+
+    def current(self) -> Tables:
+        """The tables of the published generation; an error if there is none."""
+        pointer = self.ledger.current()
+        if pointer is None:
+            raise LookupError(f"no build is published under {self.root or 'the catalog'}")
+        return self.at(pointer.generation)
+
+    def folder(self, name: str) -> str:
+        """A folder for other files that belong to the generation."""
+        if not self.root:
+            raise ValueError("catalog tables have no folder")
+        inside = f"/generations/{self.generation}" if self.generation else ""
+        return f"{self.root.rstrip('/')}{inside}/{name}"
+
+    def database(self, layer: str) -> str:
+        return f"{layer}_{self.generation}" if self.generation else layer
 
     def location(self, layer: str, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{layer}/{name}" if self.root else f"{layer}.{name}"
+        return f"{self.folder(layer)}/{name}" if self.root else f"{self.database(layer)}.{name}"
 
     def read(self, layer: str, name: str) -> DataFrame:
         where = self.location(layer, name)
@@ -75,7 +108,7 @@ class Tables:
         if self.root:
             writer.parquet(self.location(layer, name))
         else:
-            self.spark.sql(f"create database if not exists `{layer}`")
+            self.spark.sql(f"create database if not exists `{self.database(layer)}`")
             if self.buckets and bucket_by:
                 writer = writer.bucketBy(self.buckets, *bucket_by).sortBy(*bucket_by)
             writer.format("parquet").saveAsTable(self.location(layer, name))
@@ -86,13 +119,35 @@ class Tables:
         df.createOrReplaceTempView(name)
         return df
 
-    def mark_built(self, complete: bool) -> None:
-        """Record whether the build as a whole is complete; its last step, and undone by its first."""
-        self.write(self.spark.range(1).selectExpr(f"{str(complete).lower()} as complete"), "state", "build")
+    def publish(self, inputs: str, keep: int = 2) -> None:
+        """Make this generation the one that readers get, then remove all but the last ``keep`` published ones.
+
+        Readers that opened an older one may go on with it until the next but one is published.
+        Catalog tables also get views under the layers' plain names.
+        """
+        self.ledger.append(self.generation, PUBLISHED, inputs)
+        if not self.root:
+            for layer in LAYERS:
+                self.spark.sql(f"create database if not exists `{layer}`")
+                for table in self.spark.catalog.listTables(self.database(layer)):
+                    if not table.isTemporary:
+                        self.spark.sql(
+                            f"create or replace view `{layer}`.`{table.name}` as "
+                            f"select * from `{self.database(layer)}`.`{table.name}`"
+                        )
+        for generation in self.ledger.outdated(keep):
+            self.at(generation).remove()
+
+    def remove(self) -> None:
+        """Delete this generation's tables."""
+        if self.root:
+            remove(self.spark, self.folder(""))
+        else:
+            for layer in LAYERS:
+                self.spark.sql(f"drop database if exists `{self.database(layer)}` cascade")
+        self.ledger.append(self.generation, REMOVED)
 
     def is_built(self) -> bool:
         """True after a build that passed all its checks, until another one begins."""
-        try:
-            return not self.read("state", "build").filter("complete").isEmpty()
-        except AnalysisException:
-            return False
+        begun, pointer = self.ledger.begun_last(), self.ledger.current()
+        return pointer is not None and begun is not None and begun.generation == pointer.generation
