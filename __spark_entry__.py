@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import hashlib
+import uuid
 from collections.abc import Callable
 from functools import partial, reduce
 
@@ -18,7 +19,7 @@ from hirelens.ml.split import stratified_split
 from hirelens.ml.train import TrainResult, importance_view, metrics_frame, train
 from hirelens.plans import dims, features, kpi, signals
 from hirelens.plans.intermediate import req_first_fill, with_drop_flags
-from hirelens.plans.staging import stg_offers
+from hirelens.plans.staging import stage_all
 from hirelens.plans.warehouse import Warehouse
 from hirelens.quality import (
     FEATURE_CHECKS,
@@ -201,11 +202,24 @@ def _dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _csv_round_trip(h: Warehouse) -> DataFrame:
-    """Offers written as CSV, read back by position and staged."""
-    folder = h.tables.location("csv", "contract")
-    write_csv(h.raw["offers"], f"{folder}/offers.csv")
-    return stg_offers(read_contract_csv(h.spark, folder, "offers"))
+def _csv_again(h: Warehouse, table: str, df: DataFrame) -> DataFrame:
+    """``df`` written as the contract file of a table and read back by position."""
+    folder = h.tables.location("csv", uuid.uuid4().hex)
+    write_csv(df, f"{folder}/{table}.csv")
+    return read_contract_csv(h.spark, folder, table)
+
+
+def _csv_round_trip(table: str) -> Query:
+    """A contract table written as CSV, read back and staged."""
+    return _on(lambda h: stage_all({**h.raw, table: _csv_again(h, table, h.raw[table])})[table])
+
+
+def _csv_free_text(h: Warehouse) -> DataFrame:
+    """Interviews whose texts hold quotes, commas, line breaks and header lines, written and read back."""
+    head = ",".join(CONTRACT["interviews"].names)
+    planted = F.concat(F.lit(f'"{head}"\n\n,'), "interview_id", F.lit(' said ""no"", "'), F.trim("feedback_text"), F.lit('"\n'))
+    texts = h.raw["interviews"].withColumn("feedback_text", F.when(F.length("interview_id") % 2 == 0, planted))
+    return _csv_again(h, "interviews", texts).select("interview_id", "feedback_text")
 
 
 # ---- rules and metrics over a fixed score -------------------------------------
@@ -379,7 +393,9 @@ def queries() -> dict[str, Query]:
         "signal_report": _on(_signal_report),
         "first_touch": _on(_first_touch),
         "outcome_counts": _on(lambda h: kpi.outcome_counts(h.stg["applications"])),
-        "csv_round_trip": _on(_csv_round_trip),
+        "csv_round_trip": _csv_round_trip("offers"),
+        **{f"csv_round_trip_{name}": _csv_round_trip(name) for name in CONTRACT if name != "offers"},
+        "csv_free_text": _on(_csv_free_text),
         "row_counts": _on(lambda h: row_counts(h.raw)),
         "dq_staging": _on(lambda h: run_suite(h.staged(), STAGING_CHECKS)),
         "dq_marts_declared": _suite([*MART_CHECKS, *OWN_CHECKS]),

@@ -134,8 +134,7 @@ def build(
     Whether there is anything to do follows from the content of the inputs, not from file names
     or times: one pass over them gives a fingerprint. An interrupted or failed build of the same
     inputs resumes behind its last finished step; ``force`` starts anew. Tables in ``multi_line``
-    may hold line breaks inside quotes; each of their files is read by one task, so large ones
-    come in many part files.
+    may hold line breaks inside quotes.
     """
     frames = contract_frames(spark, src, multi_line)
     inputs = inputs_key(frames, strict=strict, version=__version__)

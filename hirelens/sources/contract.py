@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import CONTRACT
+from .records import read_multi_line_csv
 from .tables import Tables, at_once
 
 
@@ -24,17 +25,14 @@ FREE_TEXT = frozenset({"interviews"})
 def read_contract_csv(spark: SparkSession, src: str, table: str, multi_line: bool | None = None) -> DataFrame:
     """One contract table. Columns bind by position; a malformed row fails the job.
 
-    Quotes inside quoted fields are doubled. With ``multi_line`` a quoted field may hold line
-    breaks, and a file is then read by one task; the default is so for tables with free text
-    only, others split across tasks. A large table with free text is given as a folder
-    ``<table>.csv`` of many part files, each with a header, which are read by a task each, or,
-    if its texts hold no line breaks, read with ``multi_line=False``. Empty fields read as null,
-    quoted or not.
+    Quotes inside quoted fields are doubled. With ``multi_line``, the default for tables with free
+    text only, a quoted field may hold line breaks. Files split across tasks either way; such
+    tables travel once more, see ``read_multi_line_csv``. Empty fields read as null, quoted or not.
     """
-    return spark.read.schema(CONTRACT[table]).csv(
-        _path(src, table), header=True, enforceSchema=True, mode="FAILFAST", dateFormat="yyyy-MM-dd",
-        escape='"', multiLine=table in FREE_TEXT if multi_line is None else multi_line,
-    )
+    path, options = _path(src, table), {"dateFormat": "yyyy-MM-dd", "escape": '"'}
+    if table in FREE_TEXT if multi_line is None else multi_line:
+        return read_multi_line_csv(spark, path, CONTRACT[table], **options)
+    return spark.read.schema(CONTRACT[table]).csv(path, header=True, enforceSchema=True, mode="FAILFAST", **options)
 
 
 def require_inputs(spark: SparkSession, src: str) -> None:
@@ -62,8 +60,8 @@ def contract_frames(
 def land_raw(spark: SparkSession, src: str, tables: Tables, multi_line: Collection[str] = FREE_TEXT) -> dict[str, int]:
     """Reload the seven raw tables from CSV; rows per table and in total.
 
-    Files of the tables in ``multi_line`` may hold line breaks inside quotes and are read by one
-    task each; see ``read_contract_csv``. Without such line breaks pass ``()``, and all files split.
+    Files of the tables in ``multi_line`` may hold line breaks inside quotes; where there are none,
+    ``()`` saves the extra exchange that finds the records.
     """
     return land(contract_frames(spark, src, multi_line), tables)
 

@@ -269,6 +269,17 @@ SUMMARY = (
     + ") GROUP BY table_name"
 )
 
+# Texts put into every other interview, with the header line of the file inside.
+CSV_TABLES = ("applicants", "requisitions", "applications", "stage_history", "interviews", "hires")
+INTERVIEW_HEADER = (
+    "interview_id,application_id,interview_round,interviewer_id,scheduled_date,completed_flag,feedback_score,feedback_text"
+)
+CSV_FREE_TEXT = f"""
+SELECT interview_id, CASE WHEN length(interview_id) % 2 = 0 THEN
+    '"{INTERVIEW_HEADER}"' || chr(10) || chr(10) || ',' || interview_id || ' said ""no"", "' || feedback_text || '"' || chr(10)
+    END AS feedback_text
+FROM stg_interviews"""
+
 QUERIES: dict[str, str] = {
     **{f"stg_{t}": f"SELECT * FROM stg_{t}" for t in CONTRACT_TABLES},
     "application_funnel": "SELECT * FROM funnel",
@@ -304,6 +315,8 @@ FROM stg_applicants a LEFT JOIN stg_applications p USING (applicant_id) GROUP BY
     ),
     "outcome_counts": "SELECT final_outcome, count(*) AS application_count FROM stg_applications GROUP BY 1",
     "csv_round_trip": "SELECT * FROM stg_offers",
+    **{f"csv_round_trip_{name}": f"SELECT * FROM stg_{name}" for name in CSV_TABLES},
+    "csv_free_text": CSV_FREE_TEXT,
     "row_counts": ROW_COUNTS,
     "dq_staging": "\nUNION ALL ".join(check_rows(STAGING)),
     "dq_marts_declared": "\nUNION ALL ".join(check_rows(DECLARED)),
