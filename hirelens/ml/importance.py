@@ -5,36 +5,64 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..operators import dense_positions
 from .metrics import auc_from_counts, score_counts
 from .spec import ModelSpec
+from .split import digest_number
 
-BLOCK_ROWS = 50_000
+ROUNDS = 4
+WALKS = 64
+
+
+def _mixed(value: Column, key: Column, low: int, high: int) -> Column:
+    """A bijection on low x high numbers: halves of a mixed radix are added to by turns, each by a digest of the other."""
+    a, b = value % low, F.floor(value / low)
+    for turn in range(ROUNDS):
+        if turn % 2 == 0:
+            a = (a + digest_number(key, F.lit(turn), b)) % low
+        else:
+            b = (b + digest_number(key, F.lit(turn), a)) % high
+    return b * low + a
+
+
+def permuted(place: Column, key: Column, rows: int) -> Column:
+    """Another place for each place below ``rows``, one to one, chosen by ``key``.
+
+    The bijection above covers a few more numbers than ``rows``; what falls beyond is sent
+    through it again until it lies below. Beyond are fewer numbers than the lower radix, the square
+    root of ``rows``, so more than ``WALKS`` steps are as good as impossible; they raise.
+    """
+    low = max(1, math.isqrt(rows - 1) + 1) if rows > 1 else 1
+    high = -(-rows // low)
+    once = _mixed(place, key, low, high)
+    again = F.aggregate(
+        F.sequence(F.lit(1), F.lit(WALKS)),
+        once.cast("long"),
+        lambda at, _: F.when(at < rows, at).otherwise(_mixed(at, key, low, high).cast("long")),
+    )
+    stuck = F.raise_error(F.lit("a permuted place was not found"))
+    walked = F.when(again < rows, again).otherwise(stuck.cast("long"))
+    return F.when(once < rows, once.cast("long")).otherwise(walked)
 
 
 def shuffled_variants(df: DataFrame, spec: ModelSpec, rows: int, repeats: int, seed: int) -> DataFrame:
     """Every row once per (repeat, feature), that feature taken from another row.
 
-    Rows fall into hash blocks of about ``BLOCK_ROWS``. In each block the rows in
-    id order are paired with the same rows in a random order per repeat, so each
-    column keeps exactly its values and no global sort is needed.
+    Rows have places by id. Per repeat a keyed bijection of the places names the row that a row
+    lends its values to, which may be any row; so each column keeps exactly its values, nothing is
+    sorted by chance, and the result follows from the ids, ``rows`` and the seed alone.
     """
-    blocks = max(1, math.ceil(rows / BLOCK_ROWS))
-    blocked = df.withColumn("block", F.pmod(F.xxhash64(spec.id, F.lit(seed)), F.lit(blocks)))
-    by_id = Window.partitionBy("block").orderBy(spec.id)
-    receivers = blocked.withColumn("position", F.row_number().over(by_id))
-    by_chance = Window.partitionBy("block", "repeat").orderBy(F.xxhash64(spec.id, "repeat", F.lit(seed + 1)), spec.id)
+    placed = dense_positions(df, [spec.id])
+    key = F.concat_ws(":", F.lit(seed), F.col("repeat"))
     donors = (
-        blocked.withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
-        .withColumn("position", F.row_number().over(by_chance))
-        .select("block", "repeat", "position", F.struct(*spec.features).alias("donor"))
-    )
-    paired = receivers.join(donors, ["block", "position"]).withColumn(
-        "feature", F.explode(F.array(*map(F.lit, spec.features)))
+        placed.withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
+        .withColumn("to", permuted(F.col("pos"), key, rows))
+        .select("repeat", F.col("to").alias("pos"), F.struct(*spec.features).alias("donor"))
     )
+    paired = placed.join(donors, "pos").withColumn("feature", F.explode(F.array(*map(F.lit, spec.features))))
     swapped = [
         F.when(F.col("feature") == c, F.col(f"donor.{c}")).otherwise(F.col(c)).alias(c) for c in spec.features
     ]
@@ -52,15 +80,13 @@ def permutation_importance(
 ) -> DataFrame:
     """(feature, mean, sd) of the AUC lost when a raw column is shuffled.
 
-    ``score`` adds a ``score`` column to model inputs. The counts per distinct
-    score are stored because the AUC reads them twice.
+    ``score`` adds a ``score`` column to model inputs.
     """
     variants = score(shuffled_variants(test, spec, rows, repeats, seed))
     by = ("repeat", "feature")
-    counts = cut_lineage(score_counts(variants, "label", "score", by))
     drop = F.lit(base_auc) - F.col("auc")
     return (
-        auc_from_counts(counts, by)
+        auc_from_counts(score_counts(variants, "label", "score", by), by)
         .groupBy("feature")
         .agg(F.avg(drop).alias("mean"), F.stddev_pop(drop).alias("sd"))
         .orderBy(F.desc("mean"), "feature")

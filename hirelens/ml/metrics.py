@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 200
+from ..operators import sum_before
 
 
 def score_counts(df: DataFrame, label: str, score: str, by: tuple[str, ...] = ()) -> DataFrame:
@@ -19,33 +19,14 @@ def score_counts(df: DataFrame, label: str, score: str, by: tuple[str, ...] = ()
 def auc_from_counts(counts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Exact area under the ROC curve per group; null where a class is missing.
 
-    Equals the chance that a positive outscores a negative, ties counting half.
-    Negatives below each score come from a running sum in two levels, so no task
-    orders all scores: the scores are cut into value buckets of similar size,
-    each bucket is summed by itself, and only the bucket totals are ordered
-    across the whole range. Bucket bounds shape the work, never the result.
+    Equals the chance that a positive outscores a negative, ties counting half. The negatives
+    below each score are a running sum over the distinct scores, which are counted once and
+    stored by ranges; a task sorts one range, however many scores there are.
     """
-    quantiles = ", ".join(f"{i / BUCKETS}D" for i in range(1, BUCKETS))
-    bounds = F.expr(f"array_distinct(percentile_approx(score, array({quantiles}), {10 * BUCKETS}))").alias("bounds")
-    if by:
-        group = list(by)
-        # 199 numbers per group; groups are models, or features times repeats
-        bounded = counts.join(counts.groupBy(*group).agg(bounds), group)
-    else:
-        group = ["_all"]
-        bounded = counts.withColumns({"_all": F.lit(0), "bounds": counts.agg(bounds).scalar()})
-    located = bounded.withColumn("bucket", F.size(F.filter("bounds", lambda b: b < F.col("score"))))
-    within = Window.partitionBy(*group, "bucket").orderBy("score")
-    below = F.sum("neg").over(within.rowsBetween(Window.unboundedPreceding, -1))
-    wins = F.col("pos").cast("decimal(20,0)") * (F.coalesce(below, F.lit(0)) * 2 + F.col("neg")).cast("decimal(18,0)")
-    totals = located.withColumn("twice_wins", wins).groupBy(*group, "bucket").agg(
-        F.sum("twice_wins").alias("twice_wins"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
-    )
-    across = Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = F.coalesce(F.sum("neg").over(across), F.lit(0))
-    twice = F.col("twice_wins") + F.col("pos").cast("decimal(20,0)") * (earlier * 2).cast("decimal(18,0)")
-    summed = totals.withColumn("twice", twice).groupBy(*group).agg(
-        F.sum("twice").alias("twice"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives")
+    placed = sum_before(counts, "score", "neg", by, "below")
+    wins = F.col("pos").cast("decimal(20,0)") * (F.col("below") * 2 + F.col("neg")).cast("decimal(18,0)")
+    summed = placed.groupBy(*by).agg(
+        F.sum(wins).alias("twice"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives")
     )
     pairs = F.col("positives").cast("double") * F.col("negatives").cast("double") * 2
     auc = F.try_divide(F.col("twice").cast("double"), pairs).alias("auc")

@@ -6,13 +6,13 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from hirelens.ml import metrics
-from hirelens.ml.importance import shuffled_variants
+from hirelens.ml.importance import permuted, shuffled_variants
 from hirelens.ml.metrics import classification_report, roc_auc
 from hirelens.ml.prep import class_weights
 from hirelens.ml.spec import DROP_OFF, MODELS, OFFER_DECLINE, TIME_TO_FILL, LeakageError
 from hirelens.ml.split import stratified_split
 from hirelens.ml.train import TrainConfig, importance_view, load, load_models, metrics_frame, save, save_report, train
+from hirelens.operators import positions
 
 FAST = TrainConfig(max_iter=50, rounds=5, repeats=2)
 
@@ -24,13 +24,19 @@ def pairwise_auc(rows):
     return wins / (len(positives) * len(negatives))
 
 
-@pytest.mark.parametrize("levels, buckets", [(7, 200), (10**6, 200), (10**6, 4), (1, 200)])
-def test_auc_equals_pair_count(spark, monkeypatch, levels, buckets):
-    monkeypatch.setattr(metrics, "BUCKETS", buckets)
+@pytest.mark.parametrize("levels, parts", [(7, 4), (10**6, 4), (10**6, 61), (1, 4)])
+def test_auc_equals_pair_count(spark, levels, parts):
     rng = random.Random(levels)
     rows = [(rng.random() < 0.3, rng.randrange(levels) / levels) for _ in range(1500)]
     df = spark.createDataFrame(rows, "label boolean, score double").repartition(5)
-    got = roc_auc(df, "label", "score").first()
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = roc_auc(df, "label", "score").first()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
     assert got.auc == pytest.approx(pairwise_auc(rows), abs=1e-12)
     assert got.positives + got.negatives == 1500
 
@@ -161,6 +167,45 @@ def test_shuffled_column_keeps_its_values(spark, planted):
     variants.unpersist()
 
 
+def test_donors_are_any_rows_and_do_not_depend_on_partitions(spark, planted):
+    inputs = OFFER_DECLINE.labelled(planted).withColumn("resume_years_experience", F.xxhash64("application_id").cast("double"))
+    seen = set()
+    for n in (1, 7, 64):
+        variants = shuffled_variants(inputs.repartition(n), OFFER_DECLINE, 3000, 2, 42)
+        rows = variants.filter("feature = 'resume_years_experience'")
+        seen.add(tuple(rows.selectExpr("count(*)", "sum(xxhash64(repeat, application_id, resume_years_experience) % 1000003)").first()))
+    assert len(seen) == 1 and next(iter(seen))[0] == 6000
+    lent = rows.join(inputs.select("resume_years_experience", F.col("application_id").alias("donor")), "resume_years_experience")
+    far = lent.selectExpr("repeat", "abs(int(substr(donor, 4)) - int(substr(application_id, 4))) as d").groupBy("repeat")
+    for r in far.agg(F.avg("d").alias("mean"), F.max("d").alias("most"), F.count("*").alias("n")).collect():
+        assert r["mean"] == pytest.approx(1000, rel=0.1) and r["most"] > 2700 and r["n"] == 3000  # as for chance
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 16, 17, 1000, 4097])
+def test_permuted_places_are_a_permutation(spark, n):
+    places = spark.range(n).select(*[permuted(F.col("id"), F.lit(k), n).alias(k) for k in ("a", "b")]).collect()
+    for k in ("a", "b"):
+        assert sorted(r[k] for r in places) == list(range(n))
+    if n > 100:
+        assert sum(r["a"] == r["b"] for r in places) < n / 20 and sum(r["a"] == i for i, r in enumerate(places)) < n / 20
+
+
+def test_running_sums_over_many_values_are_dealt_by_ranges(spark, monkeypatch):
+    stored, cut = [], positions.cut_lineage
+    monkeypatch.setattr(positions, "cut_lineage", lambda df: stored.append(cut(df)) or stored[-1])
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        df = spark.range(1_000_000).selectExpr("id / 1e6 as score", "1L as n", "id").repartition(9)
+        got = positions.sum_before(df, "score", "n")
+        assert got.filter("before <> id").count() == 0 and got.count() == 1_000_000
+        assert stored[0].groupBy("_part").count().agg(F.max("count")).first()[0] < 60_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_one_class_is_an_error(spark, planted):
     with pytest.raises(ValueError, match="both classes"):
         train(planted.filter("label_offer_declined"), OFFER_DECLINE, FAST)
