@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import hashlib
+import math
 import uuid
 from collections.abc import Callable
 from functools import partial, reduce
@@ -13,10 +14,22 @@ from pyspark.sql import functions as F
 
 from hirelens import operators as ops
 from hirelens.ml.metrics import classification_report, roc_auc
-from hirelens.ml.prep import class_weights
+from hirelens.ml.importance import permutation_importance
+from hirelens.ml.prep import LINEAR, TREES, class_weights
+from hirelens.ml.ranks import medians
 from hirelens.ml.spec import DROP_OFF, MODELS, OFFER_DECLINE, TIME_TO_FILL, ModelSpec
 from hirelens.ml.split import stratified_split
-from hirelens.ml.train import TrainResult, importance_view, metrics_frame, train
+from hirelens.ml.train import (
+    TrainedModel,
+    TrainResult,
+    importance_view,
+    load,
+    metrics_frame,
+    sample_predictions,
+    save,
+    train,
+)
+from hirelens.ml.vocabulary import level_table, levels, one_hot
 from hirelens.plans import dims, features, kpi, signals
 from hirelens.plans.intermediate import req_first_fill, with_drop_flags
 from hirelens.plans.staging import stage_all
@@ -300,6 +313,122 @@ def _split_counts(h: Warehouse) -> DataFrame:
     )
 
 
+def _split_rows(h: Warehouse) -> DataFrame:
+    """Each application's side of the split."""
+    train_rows, test_rows = stratified_split(_scored_labels(h), "label", "application_id")
+    sides = [df.select("application_id", F.lit(n).alias("part")) for n, df in (("train", train_rows), ("test", test_rows))]
+    return sides[0].unionByName(sides[1])
+
+
+def _impute_medians(h: Warehouse) -> DataFrame:
+    """The exact median of every number a model sees, over the whole feature mart."""
+    numbers = sorted({c for spec in MODELS.values() for c in spec.numeric})
+    found = medians(h.table("mart_ml_features"), numbers)
+    return h.spark.createDataFrame(list(found.items()), "feature string, median double")
+
+
+CATEGORIES = sorted({c for spec in MODELS.values() for c in spec.categorical})
+
+
+def _one_hot_rows(h: Warehouse) -> DataFrame:
+    """Each application's categories as zeros and ones, in the dictionary's order."""
+    features = h.table("mart_ml_features")
+    hot = one_hot(features, levels(features, CATEGORIES))
+    return hot.select("application_id", *[F.concat_ws("", f"{c}_hot").alias(c) for c in CATEGORIES])
+
+
+# ---- models as stored tables -----------------------------------------------------
+
+# Small models written down here: they are saved, read back and applied like trained ones.
+_LEAF = (None, None, None, None)
+STORED = {
+    DROP_OFF.name: TrainedModel(
+        DROP_OFF,
+        TREES,
+        (
+            (0, 0, "max_gap_between_rounds_days", 6.0, None, False, None),
+            (0, 1, "candidate_source", None, "referral", False, None),
+            (0, 2, "max_stage_dwell_days", 9.0, None, True, None),
+            (0, 3, *_LEAF, -0.8),
+            (0, 4, *_LEAF, -0.1),
+            (0, 5, *_LEAF, 0.2),
+            (0, 6, *_LEAF, 0.9),
+            (1, 0, "avg_feedback_score", math.inf, None, False, None),
+            (1, 1, *_LEAF, -0.05),
+            (1, 2, *_LEAF, 0.4),
+        ),
+        -0.4,
+    ),
+    TIME_TO_FILL.name: TrainedModel(
+        TIME_TO_FILL,
+        LINEAR,
+        (
+            (None, None, -1.1, None),
+            ("recruiter_concurrent_open_reqs", None, 0.004, 12.0),
+            ("seniority_level", "principal", 0.8, None),
+            ("seniority_level", "staff", 0.5, None),
+            ("location", "boise", 0.6, None),
+            ("is_niche_location", None, 0.3, 0.0),
+        ),
+    ),
+    OFFER_DECLINE.name: TrainedModel(
+        OFFER_DECLINE,
+        LINEAR,
+        (
+            (None, None, 2.5, None),
+            ("offer_to_band_ratio", None, -3.25, 1.0),
+            ("resume_years_experience", None, -0.02, 4.0),
+            ("candidate_source", "agency", 0.3, None),
+            ("referral_flag", None, -0.4, 0.0),
+        ),
+    ),
+}
+
+
+def _stored(h: Warehouse, spec: ModelSpec) -> TrainedModel:
+    folder = h.tables.location("models", "stored")
+    save(STORED[spec.name], folder)
+    return load(h.spark, folder, spec.name)
+
+
+def _scored_flat(df: DataFrame, id_col: str, score: str) -> DataFrame:
+    return _flat(df.withColumnRenamed(score, "score"), id_col)
+
+
+def _stored_applications(h: Warehouse) -> DataFrame:
+    scored = score_applications(h.table("mart_ml_features"), _stored(h, DROP_OFF).score)
+    return _scored_flat(scored, "application_id", "dropout_risk_score")
+
+
+def _stored_offers(h: Warehouse) -> DataFrame:
+    scored = score_offers(h.table("fact_offers"), h.table("mart_ml_features"), _stored(h, OFFER_DECLINE).score)
+    return _scored_flat(scored, "offer_id", "decline_risk_score")
+
+
+def _stored_requisitions(h: Warehouse) -> DataFrame:
+    return at_risk_view(score_open_requisitions(_open_reqs(h), _stored(h, TIME_TO_FILL).score))
+
+
+def _features_echo(h: Warehouse) -> DataFrame:
+    """The features that come back with each scored application."""
+    return score_applications(h.table("mart_ml_features"), _stored(h, DROP_OFF).score).select("application_id", "features.*")
+
+
+def _stored_importance(h: Warehouse) -> DataFrame:
+    """Permutation importance of the stored offer model over all labelled offers."""
+    model, test = _stored(h, OFFER_DECLINE), OFFER_DECLINE.labelled(h.table("mart_ml_features"))
+    base = roc_auc(model.score(test), "label", "score").first()["auc"]
+    found = permutation_importance(model.score, test, OFFER_DECLINE, test.count(), base, repeats=2)
+    return importance_view(found, len(OFFER_DECLINE.features)).select(
+        "feature", "description", F.round("mean", 6).alias("mean"), F.round("sd", 6).alias("sd")
+    )
+
+
+def _stored_samples(h: Warehouse) -> DataFrame:
+    test = DROP_OFF.labelled(h.table("mart_ml_features"))
+    return sample_predictions(_stored(h, DROP_OFF), test).withColumn("score", F.round("score", 6))
+
+
 def _missing_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applications asked for that have no features: those without a requisition."""
     asked = _house(spark, sf_dir, dirty=True).stg["applications"].select("application_id")
@@ -413,6 +542,16 @@ def queries() -> dict[str, Query]:
         "classification_report": _on(_classification),
         "class_weights": _on(_class_weights),
         "split_counts": _on(_split_counts),
+        "split_rows": _on(_split_rows),
+        "impute_medians": _on(_impute_medians),
+        "category_levels": _on(lambda h: level_table(h.table("mart_ml_features"), CATEGORIES)),
+        "one_hot_rows": _on(_one_hot_rows),
+        "score_applications_stored": _on(_stored_applications),
+        "score_offers_stored": _on(_stored_offers),
+        "score_requisitions_stored": _on(_stored_requisitions),
+        "scored_features": _on(_features_echo),
+        "importance_stored": _on(_stored_importance),
+        "sample_predictions_stored": _on(_stored_samples),
         **{f"model_metrics_{spec.name}": _metrics(spec) for spec in MODELS.values()},
         **{f"importance_{spec.name}": _importance(spec) for spec in MODELS.values()},
         "score_requisitions": _score_requisitions,

@@ -1,23 +1,20 @@
-"""Preprocessing and the two classifiers."""
+"""Class weights, and what both classifiers need to know of the training rows."""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .boosting import Feature
+from .ranks import order_codes, summaries
 from .spec import ModelSpec
+from .vocabulary import levels
 
 LINEAR = "logistic_regression"
 TREES = "boosted_trees"
-EARLY_STOP_TOLERANCE = 1e-7
-
-
-def missing_flags(df: DataFrame, spec: ModelSpec) -> DataFrame:
-    """One 0/1 column per numeric feature: trees may split on its absence."""
-    return df.withColumns({f"{c}_missing": F.col(c).isNull().cast("double") for c in spec.numeric})
+BINS = 255
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -36,71 +33,20 @@ def weight_column(label: str, counts: dict[float, int]) -> Column:
     return weight
 
 
-def _one_hot(spec: ModelSpec) -> tuple[list, list[str]]:
-    """Indexer and encoder; an unseen or null category encodes as all zeros."""
-    indexed = [f"{c}_index" for c in spec.categorical]
-    encoded = [f"{c}_vec" for c in spec.categorical]
-    return [
-        StringIndexer(inputCols=list(spec.categorical), outputCols=indexed, handleInvalid="keep"),
-        OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
-    ], encoded
+@dataclass(frozen=True)
+class Prepared:
+    """Exact medians, bin edges and levels of a training frame."""
 
+    medians: dict[str, float | None]
+    levels: dict[str, tuple[str, ...]]
+    features: tuple[Feature, ...]
 
-def make_pipeline(
-    spec: ModelSpec,
-    kind: str,
-    rows: int,
-    max_iter: int = 1000,
-    rounds: int = 300,
-    seed: int = 42,
-    validation: str | None = None,
-) -> Pipeline:
-    """Median imputation, encoding and a weighted classifier.
 
-    Linear: standardised numerics, L2 with the penalty of unit inverse strength
-    over ``rows`` unit-mean weights. Trees: raw numerics and missing flags,
-    boosted with shrinkage 0.08.
-    """
-    filled = [f"{c}_filled" for c in spec.numeric]
-    impute = Imputer(strategy="median", inputCols=list(spec.numeric), outputCols=filled)
-    categories, encoded = _one_hot(spec)
-    flags = list(spec.boolean)
-    if kind == LINEAR:
-        return Pipeline(
-            stages=[
-                impute,
-                VectorAssembler(inputCols=filled, outputCol="numbers"),
-                StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True),
-                *categories,
-                VectorAssembler(inputCols=["scaled", *encoded, *flags], outputCol="features"),
-                LogisticRegression(
-                    maxIter=max_iter,
-                    regParam=1.0 / rows,
-                    elasticNetParam=0.0,
-                    standardization=False,
-                    weightCol="weight",
-                ),
-            ]
-        )
-    missing = [f"{c}_missing" for c in spec.numeric]
-    trees = GBTClassifier(
-        maxIter=rounds,
-        stepSize=0.08,
-        maxDepth=5,
-        maxBins=255,
-        minInstancesPerNode=20,
-        # stop at the first round that does not improve; the default stops below 1 % gain
-        validationTol=EARLY_STOP_TOLERANCE,
-        weightCol="weight",
-        seed=seed,
-    )
-    if validation:
-        trees = trees.setValidationIndicatorCol(validation)
-    return Pipeline(
-        stages=[
-            impute,
-            *categories,
-            VectorAssembler(inputCols=[*filled, *missing, *encoded, *flags], outputCol="features"),
-            trees,
-        ]
-    )
+def prepare(train: DataFrame, spec: ModelSpec) -> Prepared:
+    """Learn fills, bins and dictionaries once for both models; the numbers' codes are stored once."""
+    middle, edges = summaries(order_codes(train, spec.numeric), spec.numeric, BINS)
+    known = levels(train, spec.categorical)
+    features = [Feature(c, edges=edges[c]) for c in spec.numeric]
+    features += [Feature(c, levels=known[c]) for c in spec.categorical]
+    features += [Feature(c, edges=(0.5,)) for c in spec.boolean]
+    return Prepared(middle, known, tuple(features))

@@ -20,6 +20,7 @@ class ModelSpec:
     categorical: tuple[str, ...]
     boolean: tuple[str, ...]
     forbidden: tuple[str, ...]
+    classes: tuple[str, str]
     id: str = "application_id"
 
     @property
@@ -84,6 +85,7 @@ TIME_TO_FILL = ModelSpec(
         *_CONTEXT_COLUMNS,
         *_other_labels("label_missed_target"),
     ),
+    classes=("hit_target", "missed_target"),
 )
 DROP_OFF = ModelSpec(
     name="drop_off_risk",
@@ -96,6 +98,7 @@ DROP_OFF = ModelSpec(
     categorical=_CANDIDATE_AND_ROLE,
     boolean=("referral_flag", "is_niche_location"),
     forbidden=(*_OFFER_COLUMNS, *_CONTEXT_COLUMNS, *_other_labels("label_was_dropped")),
+    classes=("stayed", "dropped"),
 )
 OFFER_DECLINE = ModelSpec(
     name="offer_decline_risk",
@@ -110,6 +113,7 @@ OFFER_DECLINE = ModelSpec(
         *_CONTEXT_COLUMNS,
         *_other_labels("label_offer_declined"),
     ),
+    classes=("accepted", "declined"),
 )
 MODELS = {spec.name: spec for spec in (TIME_TO_FILL, DROP_OFF, OFFER_DECLINE)}
 

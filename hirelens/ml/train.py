@@ -7,15 +7,17 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .boosting import ROWS_SCHEMA as NODES
+from .boosting import binned, fit_trees, margin_sql
 from .importance import permutation_importance
+from .linear import ROWS_SCHEMA as WEIGHTS
+from .linear import Linear, fit_linear
 from .metrics import classification_report, roc_auc
-from .prep import LINEAR, TREES, make_pipeline, missing_flags, weight_column
+from .prep import LINEAR, TREES, prepare, weight_column
 from .spec import MODELS, PLAIN_LANGUAGE, ModelSpec
 from .split import hash_position, stratified_split
 
@@ -26,8 +28,9 @@ METRICS_SCHEMA = "model string, section string, name string, metric string, valu
 class TrainConfig:
     """How to train; the defaults hold at every size.
 
-    All ``rounds`` are boosted unless ``validation`` names a share of the training rows to
-    withhold from the trees; boosting then ends at the first round that does not improve on them.
+    ``validation`` is the share of the training rows withheld from the trees; boosting ends after
+    ``patience`` rounds without a lower loss over them, and the best round's trees are kept. With
+    None all ``rounds`` are boosted.
     """
 
     test: float = 0.25
@@ -35,14 +38,24 @@ class TrainConfig:
     max_iter: int = 1000
     rounds: int = 300
     repeats: int = 5
-    validation: float | None = None
+    validation: float | None = 0.1
+    patience: int = 10
+    depth: int = 5
+    min_rows: int = 20
 
 
 @dataclass(frozen=True)
 class TrainedModel:
+    """A model as plain rows: weights of a linear one, or the nodes of trees and their base margin."""
+
     spec: ModelSpec
     kind: str
-    pipeline: PipelineModel
+    rows: tuple[tuple, ...]
+    base: float = 0.0
+
+    def margin_sql(self) -> str:
+        """The log odds as SQL text over the feature columns, flags as 0 and 1; any engine can run it."""
+        return Linear(self.rows).margin_sql() if self.kind == LINEAR else margin_sql(self.base, self.rows)
 
     def score(self, df: DataFrame, out: str = "score") -> DataFrame:
         """``df`` plus the probability of the positive class.
@@ -51,9 +64,8 @@ class TrainedModel:
         ``df`` come back as they were.
         """
         original = F.struct(*df.columns).alias("_row")
-        inputs = missing_flags(self.spec.inputs(df, original), self.spec)
-        probability = vector_to_array("probability")[1]
-        return self.pipeline.transform(inputs).select("_row.*", probability.alias(out))
+        margin = F.expr(self.margin_sql())
+        return self.spec.inputs(df, original).select("_row.*", (1 / (1 + F.exp(-margin))).alias(out))
 
 
 @dataclass
@@ -78,20 +90,25 @@ class TrainResult:
         )
 
     def sample_predictions(self, n: int = 4) -> DataFrame:
-        first = self.test.orderBy(self.model.spec.id).limit(n)
-        return self.model.score(first).select(self.model.spec.id, *self.model.spec.features, "label", "score")
-
-
-def _fit(train: DataFrame, spec: ModelSpec, kind: str, counts: dict[float, int], config: TrainConfig) -> TrainedModel:
-    rows = sum(counts.values())
-    weighted = missing_flags(train, spec).withColumn("weight", weight_column("label", counts))
-    validation = None
-    if kind == TREES and config.validation is not None:
-        validation = "is_validation"
-        share = F.lit(int(config.validation * (1 << 31)))
-        weighted = weighted.withColumn(validation, hash_position(spec.id, config.seed + 1) < share)
-    pipeline = make_pipeline(spec, kind, rows, config.max_iter, config.rounds, config.seed, validation)
-    return TrainedModel(spec, kind, pipeline.fit(weighted))
+        return sample_predictions(self.model, self.test, n)
+
+
+def _fit(train: DataFrame, spec: ModelSpec, counts: dict[float, int], config: TrainConfig) -> dict[str, TrainedModel]:
+    """Both models, from one pass for fills, bins and dictionaries."""
+    known = prepare(train, spec)
+    withheld = F.lit(False)
+    if config.validation is not None:
+        withheld = hash_position(spec.id, config.seed + 1) < F.lit(int(config.validation * (1 << 31)))
+    weighted = train.withColumns({"weight": weight_column("label", counts), "withheld": withheld})
+    linear = fit_linear(weighted, spec, known.medians, known.levels, sum(counts.values()), config.max_iter)
+    trees = fit_trees(
+        cut_lineage(binned(weighted, known.features)), known.features, config.rounds,
+        depth=config.depth, min_rows=config.min_rows, patience=config.patience,
+    )
+    return {
+        LINEAR: TrainedModel(spec, LINEAR, linear.rows),
+        TREES: TrainedModel(spec, TREES, tuple(trees.rows()), trees.base),
+    }
 
 
 def train(features: DataFrame, spec: ModelSpec, config: TrainConfig | None = None) -> TrainResult:
@@ -108,7 +125,7 @@ def train(features: DataFrame, spec: ModelSpec, config: TrainConfig | None = Non
     if set(counts) != {0.0, 1.0} or set(test_counts) != {0.0, 1.0}:
         raise ValueError(f"{spec.name} needs both classes in train and test, got {counts} and {test_counts}")
 
-    models = {kind: _fit(fit_rows, spec, kind, counts, config) for kind in (LINEAR, TREES)}
+    models = _fit(fit_rows, spec, counts, config)
     scored = cut_lineage(
         reduce(
             DataFrame.unionByName,
@@ -119,8 +136,8 @@ def train(features: DataFrame, spec: ModelSpec, config: TrainConfig | None = Non
         )
     )
     aucs = {r["kind"]: r["auc"] for r in roc_auc(scored, "label", "score", ("kind",)).collect()}
-    reports = classification_report(scored, "label", "score", by=("kind",)).collect()
-    f1 = {r["kind"]: r["f1"] for r in reports if r["row_name"] == "1"}
+    reports = classification_report(scored, "label", "score", spec.classes, by=("kind",)).collect()
+    f1 = {r["kind"]: r["f1"] for r in reports if r["row_name"] == spec.classes[1]}
     metrics = {kind: {"auc": aucs[kind], "f1": f1[kind]} for kind in models}
     best = TREES if aucs[TREES] >= aucs[LINEAR] else LINEAR
 
@@ -138,6 +155,14 @@ def train(features: DataFrame, spec: ModelSpec, config: TrainConfig | None = Non
     return TrainResult(models[best], metrics, sizes, base_rate, rows, test_rows)
 
 
+def sample_predictions(model: TrainedModel, test: DataFrame, n: int = 4) -> DataFrame:
+    """The first ``n`` test rows by id: their features, score, and what was predicted and came true by name."""
+    spec = model.spec
+    first = model.score(test.orderBy(spec.id).limit(n))
+    predicted, actual = (F.when(hit, spec.classes[1]).otherwise(spec.classes[0]) for hit in (F.col("score") >= 0.5, F.col("label") == 1.0))
+    return first.select(spec.id, *spec.features, "label", "score", predicted.alias("predicted"), actual.alias("actual"))
+
+
 def metrics_frame(spark: SparkSession, result: TrainResult) -> DataFrame:
     """The report as (model, section, name, metric, value) rows."""
     return spark.createDataFrame(result.report, METRICS_SCHEMA)
@@ -154,26 +179,28 @@ def importance_view(importance: DataFrame, top: int = 5) -> DataFrame:
 
 
 def save_report(spark: SparkSession, result: TrainResult, importance: DataFrame, root: str) -> None:
-    """Metrics and described importances as two tables next to the model."""
+    """Metrics, described importances and sample predictions as tables next to the model."""
     path = f"{root.rstrip('/')}/{result.model.spec.name}"
     metrics_frame(spark, result).coalesce(1).write.mode("overwrite").parquet(f"{path}/metrics")
     features = len(result.model.spec.features)
     importance_view(importance, features).write.mode("overwrite").parquet(f"{path}/importance")
+    result.sample_predictions().coalesce(1).write.mode("overwrite").parquet(f"{path}/samples")
 
 
 def save(model: TrainedModel, root: str) -> None:
-    """Write the fitted pipeline and a one-row description next to it."""
-    path, spec = f"{root.rstrip('/')}/{model.spec.name}", model.spec
-    model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    """Write the model's rows as one table and a one-row description next to it."""
+    path, spec, spark = f"{root.rstrip('/')}/{model.spec.name}", model.spec, SparkSession.active()
+    schema = WEIGHTS if model.kind == LINEAR else NODES
+    spark.createDataFrame(list(model.rows), schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/rows")
     about = {
         "name": spec.name,
         "kind": model.kind,
+        "base": model.base,
         "label": spec.label,
         "numeric": list(spec.numeric),
         "categorical": list(spec.categorical),
         "boolean": list(spec.boolean),
     }
-    spark = SparkSession.active()
     spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.mode("overwrite").text(
         f"{path}/spec"
     )
@@ -189,7 +216,12 @@ def load(spark: SparkSession, root: str, name: str) -> TrainedModel:
     saved = (about["label"], tuple(about["numeric"]), tuple(about["categorical"]), tuple(about["boolean"]))
     if saved != (spec.label, spec.numeric, spec.categorical, spec.boolean):
         raise ValueError(f"{path} was trained on other features than {name} has now")
-    return TrainedModel(spec, about["kind"], PipelineModel.load(f"{path}/pipeline"))
+    rows = sorted((tuple(r) for r in spark.read.parquet(f"{path}/rows").collect()), key=_row_order)
+    return TrainedModel(spec, about["kind"], tuple(rows), about["base"])
+
+
+def _row_order(row: tuple) -> tuple:
+    return tuple((v is not None, v if v is not None else 0) for v in row[:2])
 
 
 def load_models(spark: SparkSession, root: str) -> dict[str, TrainedModel]:

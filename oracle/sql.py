@@ -280,6 +280,120 @@ SELECT interview_id, CASE WHEN length(interview_id) % 2 = 0 THEN
     END AS feedback_text
 FROM stg_interviews"""
 
+# ---- the split, medians, dictionaries and stored models ---------------------------
+
+DIGEST = "(('0x' || substr(md5({}), 1, 8))::BIGINT % 2147483648)"
+SPLIT = f"""
+SELECT application_id, label, CASE WHEN place <= max(place) FILTER (WHERE rank <= ceil(0.25 * n)) OVER (PARTITION BY label)
+       THEN 'test' ELSE 'train' END AS part
+FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY place) AS rank, count(*) OVER (PARTITION BY label) AS n
+      FROM (SELECT application_id, final_outcome = 'withdrawn' AS label,
+                   {DIGEST.format("'42:' || application_id")} AS place FROM stg_applications))"""
+
+NUMBERS = (
+    "resume_years_experience", "interview_rounds_completed", "avg_feedback_score", "min_feedback_score", "interviewer_count",
+    "max_gap_between_rounds_days", "max_stage_dwell_days", "recruiter_concurrent_open_reqs", "offer_to_band_ratio",
+)
+MEDIANS = "\nUNION ALL ".join(f"SELECT '{c}' AS feature, median(CAST({c} AS DOUBLE)) AS median FROM features" for c in NUMBERS)
+CATEGORIES = ("candidate_source", "department", "location", "seniority_level")
+LEVELS = "\nUNION ALL ".join(
+    f"SELECT '{c}' AS feature, {c} AS level, row_number() OVER (ORDER BY {c} COLLATE C) - 1 AS place"
+    f" FROM (SELECT DISTINCT {c} FROM features WHERE {c} IS NOT NULL)"
+    for c in CATEGORIES
+)
+ONE_HOT = "SELECT application_id, " + ", ".join(
+    f"(SELECT coalesce(string_agg(CASE WHEN l.{c} = f.{c} THEN '1' ELSE '0' END, '' ORDER BY l.{c}), '')"
+    f" FROM (SELECT DISTINCT {c} FROM features WHERE {c} IS NOT NULL) l) AS {c}"
+    for c in CATEGORIES
+) + " FROM features f"
+
+DROP_OFF_MARGIN = """-0.4e0
+    + CASE WHEN max_gap_between_rounds_days <= 6 THEN CASE WHEN candidate_source = 'referral' THEN -0.8e0 ELSE -0.1e0 END
+           WHEN max_stage_dwell_days <= 9 OR max_stage_dwell_days IS NULL THEN 0.2e0 ELSE 0.9e0 END
+    + CASE WHEN avg_feedback_score IS NULL THEN 0.4e0 ELSE -0.05e0 END"""
+FILL_MARGIN = """-1.1e0 + 0.004e0 * coalesce(recruiter_concurrent_open_reqs, 12)
+    + 0.3e0 * CASE WHEN is_niche_location THEN 1 ELSE 0 END
+    + CASE seniority_level WHEN 'principal' THEN 0.8e0 WHEN 'staff' THEN 0.5e0 ELSE 0e0 END
+    + CASE WHEN location = 'boise' THEN 0.6e0 ELSE 0e0 END"""
+OFFER_MARGIN = """2.5e0 - 3.25e0 * coalesce(CAST(offer_to_band_ratio AS DOUBLE), 1) - 0.02e0 * coalesce(CAST(resume_years_experience AS DOUBLE), 4)
+    - 0.4e0 * CASE WHEN referral_flag THEN 1 ELSE 0 END + CASE WHEN candidate_source = 'agency' THEN 0.3e0 ELSE 0e0 END"""
+
+
+def chance(margin: str, digits: int = 4) -> str:
+    return f"round(1 / (1 + exp(-({margin}))), {digits})"
+
+
+DROPOUT_STORED = RECOMMEND_DROPOUT.replace(fixed_score("application_id", 3), chance(DROP_OFF_MARGIN))
+OFFER_STORED = RECOMMEND_OFFER.replace(
+    f"SELECT offer_id, f.*, {fixed_score('offer_id', 3)} AS score FROM fact_offers JOIN features f USING (application_id)",
+    f"SELECT *, {chance(OFFER_MARGIN)} AS score"
+    " FROM (SELECT offer_id, f.* FROM fact_offers JOIN features f USING (application_id))",
+)
+AT_RISK_STORED = AT_RISK.replace(fixed_score("req_id", 3), chance(FILL_MARGIN))
+
+DROP_OFF_NUMBERS = tuple(c for c in NUMBERS if c != "offer_to_band_ratio")
+ECHO = (
+    "SELECT application_id, "
+    + ", ".join([*DROP_OFF_NUMBERS, *CATEGORIES, "referral_flag", "is_niche_location"])
+    + " FROM features"
+)
+SAMPLES = (
+    "SELECT application_id, label, score, CASE WHEN score >= 0.5 THEN 'dropped' ELSE 'stayed' END AS predicted, "
+    "CASE WHEN label = 1 THEN 'dropped' ELSE 'stayed' END AS actual, "
+    + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in (*DROP_OFF_NUMBERS, "referral_flag", "is_niche_location"))
+    + f", {', '.join(CATEGORIES)} FROM (SELECT *, {chance(DROP_OFF_MARGIN, 6)} AS score, "
+    "CAST(label_was_dropped AS DOUBLE) AS label FROM features WHERE label_was_dropped IS NOT NULL) ORDER BY application_id LIMIT 4"
+)
+
+OFFER_FEATURES = {
+    "offer_to_band_ratio": "offer relative to the band midpoint",
+    "resume_years_experience": "years of experience",
+    "candidate_source": "channel the candidate came from",
+    "department": "hiring department",
+    "seniority_level": "level of the role",
+    "location": "place of work",
+    "referral_flag": "whether the candidate was referred",
+    "is_niche_location": "whether few candidates live near the role",
+}
+
+
+def _turn(turn: int, source: str) -> str:
+    """One turn of the keyed bijection: half a or b plus a digest of the other."""
+    to, other, radix = ("a", "b", "low") if turn % 2 == 0 else ("b", "a", "high")
+    number = DIGEST.format(f"'42:' || repeat || ':{turn}:' || {other}")
+    return f"(SELECT * REPLACE (({to} + {number}) % {radix} AS {to}) FROM {source})"
+
+
+def _auc_of(rows: str, by: str) -> str:
+    return f"""(SELECT {by}, CAST(sum(pos * (2 * below + neg)) AS DOUBLE) / (CAST(sum(pos) AS DOUBLE) * sum(neg) * 2) AS auc
+    FROM (SELECT *, coalesce(sum(neg) OVER (PARTITION BY {by} ORDER BY m ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+          FROM (SELECT {by}, m, count_if(label) AS pos, count_if(NOT label) AS neg FROM {rows} GROUP BY ALL)) GROUP BY {by})"""
+
+
+_SWAPPED = "\nUNION ALL ".join(
+    f"SELECT '{f}' AS feature, repeat, label_offer_declined AS label, {OFFER_MARGIN} AS m"
+    f" FROM (SELECT r.* REPLACE (d.{f} AS {f}), d.repeat FROM placed r JOIN donors d ON d.target = r.pos)"
+    for f in OFFER_FEATURES
+)
+_STEP = "(SELECT pos, repeat, low, high, n, spot % low AS a, spot // low AS b FROM walks WHERE spot >= n OR step = 0)"
+for _t in range(4):
+    _STEP = _turn(_t, _STEP)
+IMPORTANCE_STORED = f"""SELECT * FROM (WITH RECURSIVE placed AS (
+    SELECT *, row_number() OVER (ORDER BY application_id) - 1 AS pos FROM features WHERE label_offer_declined IS NOT NULL
+), size AS (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS low FROM placed
+), walks AS (
+    SELECT pos, repeat, low, (n + low - 1) // low AS high, n, pos AS spot, 0 AS step FROM placed, size, range(1, 3) t(repeat)
+    UNION ALL
+    SELECT w.pos, w.repeat, w.low, w.high, w.n, s.b * s.low + s.a, w.step + 1
+    FROM walks w JOIN {_STEP} s ON s.pos = w.pos AND s.repeat = w.repeat WHERE w.spot >= w.n OR w.step = 0
+), donors AS (
+    SELECT w.spot AS target, w.repeat, p.* FROM walks w JOIN placed p ON p.pos = w.pos WHERE w.step > 0 AND w.spot < w.n
+), swapped AS ({_SWAPPED}
+), base AS (SELECT auc FROM {_auc_of(f"(SELECT 1 AS one, label_offer_declined AS label, {OFFER_MARGIN} AS m FROM placed)", "one")})
+SELECT feature, CASE feature {' '.join(f"WHEN '{f}' THEN '{d}'" for f, d in OFFER_FEATURES.items())} END AS description,
+       round(avg((SELECT auc FROM base) - auc), 6) AS mean, round(stddev_pop((SELECT auc FROM base) - auc), 6) AS sd
+FROM {_auc_of("swapped", "feature, repeat")} GROUP BY feature)"""
+
 QUERIES: dict[str, str] = {
     **{f"stg_{t}": f"SELECT * FROM stg_{t}" for t in CONTRACT_TABLES},
     "application_funnel": "SELECT * FROM funnel",
@@ -334,6 +448,17 @@ FROM stg_applicants a LEFT JOIN stg_applications p USING (applicant_id) GROUP BY
     "missing_ids": "SELECT application_id FROM dirty_stg_applications WHERE req_id IS NULL",
     "auc_exact": AUC,
     "classification_report": REPORT,
+    "split_rows": f"SELECT application_id, part FROM ({SPLIT})",
+    "split_counts": f"SELECT part, label, count(*) AS row_count FROM ({SPLIT}) GROUP BY ALL",
+    "impute_medians": MEDIANS,
+    "category_levels": LEVELS,
+    "one_hot_rows": ONE_HOT,
+    "score_applications_stored": DROPOUT_STORED,
+    "score_offers_stored": OFFER_STORED,
+    "score_requisitions_stored": AT_RISK_STORED,
+    "scored_features": ECHO,
+    "sample_predictions_stored": SAMPLES,
+    "importance_stored": IMPORTANCE_STORED,
     "class_weights": """
 SELECT label, count(*) AS "rows", sum(count(*)) OVER () / (2.0 * count(*)) AS weight
 FROM (SELECT CAST(final_outcome = 'withdrawn' AS DOUBLE) AS label FROM stg_applications) GROUP BY label""",
