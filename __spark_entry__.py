@@ -415,10 +415,17 @@ def _features_echo(h: Warehouse) -> DataFrame:
 
 
 def _stored_importance(h: Warehouse) -> DataFrame:
-    """Permutation importance of the stored offer model over all labelled offers."""
+    """Permutation importance of the stored offer model over all labelled offers.
+
+    Scores are rounded, so that equal ones are equal in any engine.
+    """
     model, test = _stored(h, OFFER_DECLINE), OFFER_DECLINE.labelled(h.table("mart_ml_features"))
-    base = roc_auc(model.score(test), "label", "score").first()["auc"]
-    found = permutation_importance(model.score, test, OFFER_DECLINE, test.count(), base, repeats=2)
+
+    def score(df: DataFrame) -> DataFrame:
+        return model.score(df).withColumn("score", F.round("score", 9))
+
+    base = roc_auc(score(test), "label", "score").first()["auc"]
+    found = permutation_importance(score, test, OFFER_DECLINE, test.count(), base, repeats=2)
     return importance_view(found, len(OFFER_DECLINE.features)).select(
         "feature", "description", F.round("mean", 6).alias("mean"), F.round("sd", 6).alias("sd")
     )

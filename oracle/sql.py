@@ -371,7 +371,7 @@ def _auc_of(rows: str, by: str) -> str:
 
 
 _SWAPPED = "\nUNION ALL ".join(
-    f"SELECT '{f}' AS feature, repeat, label_offer_declined AS label, {OFFER_MARGIN} AS m"
+    f"SELECT '{f}' AS feature, repeat, label_offer_declined AS label, {chance(OFFER_MARGIN, 9)} AS m"
     f" FROM (SELECT r.* REPLACE (d.{f} AS {f}), d.repeat FROM placed r JOIN donors d ON d.target = r.pos)"
     for f in OFFER_FEATURES
 )
@@ -389,7 +389,7 @@ IMPORTANCE_STORED = f"""SELECT * FROM (WITH RECURSIVE placed AS (
 ), donors AS (
     SELECT w.spot AS target, w.repeat, p.* FROM walks w JOIN placed p ON p.pos = w.pos WHERE w.step > 0 AND w.spot < w.n
 ), swapped AS ({_SWAPPED}
-), base AS (SELECT auc FROM {_auc_of(f"(SELECT 1 AS one, label_offer_declined AS label, {OFFER_MARGIN} AS m FROM placed)", "one")})
+), base AS (SELECT auc FROM {_auc_of(f"(SELECT 1 AS one, label_offer_declined AS label, {chance(OFFER_MARGIN, 9)} AS m FROM placed)", "one")})
 SELECT feature, CASE feature {' '.join(f"WHEN '{f}' THEN '{d}'" for f, d in OFFER_FEATURES.items())} END AS description,
        round(avg((SELECT auc FROM base) - auc), 6) AS mean, round(stddev_pop((SELECT auc FROM base) - auc), 6) AS sd
 FROM {_auc_of("swapped", "feature, repeat")} GROUP BY feature)"""
