@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Callable
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens import operators as ops
@@ -41,7 +41,9 @@ from hirelens.quality import (
     OWN_CHECKS,
     STAGING_CHECKS,
     Check,
+    between,
     orphans,
+    row_count,
     run_suite,
     summarise,
 )
@@ -215,6 +217,120 @@ def _dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Planted faults by table: the id that draws them, and what a column then holds (None: nulls alone).
+SOILED: dict[str, tuple[str, dict[str, object]]] = {
+    "stg_applicants": ("applicant_id", {"applicant_id": "gone", "source": "radio", "is_referral": None}),
+    "stg_requisitions": ("req_id", {"req_id": "gone", "seniority_level": "boss", "target_time_to_fill_days": None}),
+    "stg_applications": (
+        "application_id",
+        {"application_id": "gone", "applicant_id": None, "req_id": None, "final_outcome": "lost"},
+    ),
+    "stg_stage_history": ("application_id", {"application_id": "gone", "stage_name": None}),
+    "stg_interviews": ("interview_id", {"interview_id": "gone", "application_id": None, "feedback_score": 9}),
+    "stg_offers": ("offer_id", {"offer_id": "gone", "application_id": None, "decision": "maybe"}),
+    "stg_hires": ("hire_id", {"hire_id": "gone", "offer_id": "gone"}),
+    "dim_applicant": ("applicant_id", {"applicant_key": "parent", "applicant_id": "gone"}),
+    "dim_requisition": ("req_id", {"requisition_key": "parent", "req_id": "gone", "seniority_level": "boss"}),
+    "dim_recruiter": ("recruiter_id", {"recruiter_key": "parent", "recruiter_id": "gone"}),
+    "dim_date": ("date_day", {"date_key": 17760704, "date_day": None}),
+    "fact_applications": (
+        "application_id",
+        {
+            **dict.fromkeys(("applicant_key", "requisition_key", "recruiter_key"), "orphan"),
+            "applied_date_key": 19000101,
+            "final_outcome": "lost",
+            "actual_time_to_fill_days": -3,
+            "min_feedback_score": 0,
+            "avg_feedback_score": 7,
+            "application_id": "gone",
+        },
+    ),
+    "fact_offers": (
+        "offer_id",
+        {
+            **dict.fromkeys(("application_id", "applicant_key", "requisition_key", "recruiter_key"), "orphan"),
+            "offer_date_key": 19000101,
+            "decision": "maybe",
+            "days_to_respond": 400,
+            "offer_id": "gone",
+        },
+    ),
+    "fact_requisitions": (
+        "req_id",
+        {
+            **dict.fromkeys(("requisition_key", "recruiter_key"), "orphan"),
+            "opened_date_key": 19000101,
+            "avg_time_to_fill_days": 1001,
+            "max_time_to_fill_days": -1,
+            "any_hire_missed_target": False,
+            "req_id": "gone",
+        },
+    ),
+    "mart_ml_features": (
+        "application_id",
+        {
+            "candidate_source": "radio",
+            "seniority_level": "boss",
+            **dict.fromkeys(("referral_flag", "interview_rounds_completed", "recruiter_concurrent_open_reqs")),
+            "max_stage_dwell_days": -5,
+            **dict.fromkeys(("reached_offer_stage", "label_was_dropped", "label_offer_declined", "offer_to_band_ratio")),
+            "application_id": "gone",
+        },
+    ),
+}
+NULL_SHARE, WRONG_SHARE, TWICE_SHARE = 23, 31, 29
+
+
+def _soil(table: str, df: DataFrame) -> DataFrame:
+    """``df`` with nulls, wrong values and repeated rows where a digest of the id says so."""
+    id_col, columns = SOILED[table]
+
+    def drawn(tag: str, share: int) -> Column:
+        digits = F.substring(F.md5(F.concat(F.lit(f"{tag}:"), F.col(id_col).cast("string")).cast("binary")), 1, 8)
+        return F.conv(digits, 16, 10).cast("long") % share == 0
+
+    twice = df.unionByName(df.filter(drawn("twice", TWICE_SHARE)))
+    types = dict(df.dtypes)
+    soiled = {}
+    for c, wrong in columns.items():
+        value = F.col(c) if wrong is None else F.when(drawn(f"{c} wrong", WRONG_SHARE), F.lit(wrong).cast(types[c])).otherwise(F.col(c))
+        soiled[c] = F.when(~drawn(f"{c} null", NULL_SHARE), value)
+    return twice.select(*[soiled[c].alias(c) if c in soiled else F.col(c) for c in df.columns])
+
+
+def _soiled(h: Warehouse) -> Frames:
+    tables = {**h.staged(), **h.marts()}
+    return Frames(tuple(SOILED), lambda name: _soil(name, tables[name]))
+
+
+def _dirty_suite(checks: list[Check]) -> Query:
+    return _on(lambda h: run_suite(_soiled(h), checks))
+
+
+def _tolerances(h: Warehouse) -> DataFrame:
+    """Checks that allow a share of wrong rows, and pinned row counts."""
+    soiled = _soiled(h)
+    loose = [
+        between("mart_ml_features", "max_stage_dwell_days", 0, 10, mostly=0.5),
+        between("mart_ml_features", "max_stage_dwell_days", -4, 400, mostly=0.99),
+        between("fact_offers", "days_to_respond", 0, 365, mostly=0.95),
+        row_count("stg_offers", 6095),
+    ]
+    return run_suite(h.staged(), [row_count("stg_offers", 6095)]).unionByName(run_suite(soiled, loose))
+
+
+def _dq_orphans_dirty(h: Warehouse) -> DataFrame:
+    """Keys without a parent over all relationships, children and parents both soiled."""
+    soiled = _soiled(h)
+    found = []
+    for check in [*MART_CHECKS, *OWN_CHECKS]:
+        if check.kind == "relationship":
+            keys = orphans(soiled[check.table], check.column, soiled[check.parent[0]], check.parent[1])
+            key = F.col(check.column).cast("string").alias("orphan_key")
+            found.append(keys.select(F.lit(check.table).alias("child"), F.lit(check.column).alias("fk"), key, "row_count"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def _csv_again(h: Warehouse, table: str, df: DataFrame) -> DataFrame:
     """``df`` written as the contract file of a table and read back by position."""
     folder = h.tables.location("csv", uuid.uuid4().hex)
@@ -538,6 +654,12 @@ def queries() -> dict[str, Query]:
         "dq_marts": _suite([c for c in MART_EXPECTATIONS if c.kind != "implies"]),
         "dq_features": _suite(FEATURE_CHECKS),
         "dq_orphans": _dq_orphans,
+        "dq_staging_dirty": _dirty_suite(STAGING_CHECKS),
+        "dq_marts_declared_dirty": _dirty_suite([*MART_CHECKS, *OWN_CHECKS]),
+        "dq_marts_dirty": _dirty_suite(MART_EXPECTATIONS),
+        "dq_features_dirty": _dirty_suite(FEATURE_CHECKS),
+        "dq_tolerance": _on(_tolerances),
+        "dq_orphans_dirty": _on(_dq_orphans_dirty),
         "dq_flag_implication": _suite([c for c in MART_EXPECTATIONS if c.kind == "implies"]),
         "dq_summary": _on(lambda h: summarise(run_suite(h.marts(), MART_EXPECTATIONS))),
         "recommend_fill": _on(_recommend_fill),

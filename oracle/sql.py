@@ -7,9 +7,24 @@ import re
 from hirelens.domain import NICHE_LOCATIONS, SENIOR_LEVELS, SENIORITY
 from hirelens.scoring.recommend import ADVICE
 
-from .checks import DECLARED, EXPECTED, FEATURES, STAGING, check_rows, iff_offer, implication
-from .relations import NICHE, RELATIONS, half_up, in_list
+from .checks import (
+    DECLARED,
+    EXPECTED,
+    FEATURES,
+    SOILED,
+    STAGING,
+    check_rows,
+    iff_offer,
+    implication,
+    mostly_between,
+    pinned,
+    relation,
+    soiled_relation,
+)
+from .relations import NICHE, RELATIONS as CLEAN_RELATIONS
+from .relations import half_up, in_list
 
+RELATIONS = {**CLEAN_RELATIONS, **{f"soiled_{name}": soiled_relation(name) for name in SOILED}}
 _NAME = re.compile(rf"(?:FROM|JOIN)\s+({'|'.join(RELATIONS)})\b")
 
 
@@ -247,6 +262,15 @@ ORPHANS = "\nUNION ALL ".join(
     )
 )
 
+ORPHANS_DIRTY = "\nUNION ALL ".join(
+    f"SELECT '{table}' AS child, '{column}' AS fk, CAST({column} AS VARCHAR) AS orphan_key, count(*) AS row_count "
+    f"FROM {relation(table, True)} WHERE {column} IS NOT NULL AND {column} NOT IN "
+    f"(SELECT {parent.split('.')[1]} FROM {relation(parent.split('.')[0], True)} WHERE {parent.split('.')[1]} IS NOT NULL) "
+    f"GROUP BY {column}"
+    for table, kind, column, parent in DECLARED
+    if kind == "relationship"
+)
+
 CONTRACT_TABLES = ("applicants", "requisitions", "applications", "stage_history", "interviews", "offers", "hires")
 EACH_COUNT = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count FROM stg_{t}" for t in CONTRACT_TABLES
@@ -439,6 +463,22 @@ FROM stg_applicants a LEFT JOIN stg_applications p USING (applicant_id) GROUP BY
         [*check_rows(FEATURES), iff_offer("label_offer_declined"), iff_offer("offer_to_band_ratio")]
     ),
     "dq_orphans": ORPHANS,
+    "dq_staging_dirty": "\nUNION ALL ".join(check_rows(STAGING, True)),
+    "dq_marts_declared_dirty": "\nUNION ALL ".join(check_rows(DECLARED, True)),
+    "dq_marts_dirty": "\nUNION ALL ".join([*check_rows(EXPECTED, True), implication(True)]),
+    "dq_features_dirty": "\nUNION ALL ".join(
+        [*check_rows(FEATURES, True), iff_offer("label_offer_declined", True), iff_offer("offer_to_band_ratio", True)]
+    ),
+    "dq_tolerance": "\nUNION ALL ".join(
+        [
+            mostly_between("mart_ml_features", "max_stage_dwell_days", 0, 10, "0.5", True),
+            mostly_between("mart_ml_features", "max_stage_dwell_days", -4, 400, "0.99", True),
+            mostly_between("fact_offers", "days_to_respond", 0, 365, "0.95", True),
+            pinned("stg_offers", 6095),
+            pinned("stg_offers", 6095, True),
+        ]
+    ),
+    "dq_orphans_dirty": ORPHANS_DIRTY,
     "dq_flag_implication": implication(),
     "dq_summary": SUMMARY,
     "recommend_fill": RECOMMEND_FILL,
