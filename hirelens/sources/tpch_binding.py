@@ -14,11 +14,14 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..domain import DATE_SPINE_START, DEPARTMENTS, EDUCATION, LOCATIONS, SENIORITY, SOURCES, STAGES
+from ..domain import DATE_SPINE_START, SENIORITY, SOURCES, STAGES
 from ..schemas import CONTRACT
 from .tables import Frames
 
-# Fixed values of the stand-in data.
+# Fixed values of the stand-in data; three of the places are those that the contract calls niche.
+EDUCATION = ("none", "school", "apprenticeship", "degree", "doctorate")
+DEPARTMENTS = ("design", "legal", "logistics", "people", "product", "research", "security")
+LOCATIONS = ("lisbon", "oslo", "boise", "toronto", "reno", "nairobi", "berlin", "osaka")
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 FEEDBACK = ("Not a fit", "Some gaps", "Acceptable", "Good", "Excellent")
 

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from hirelens.domain import (
-    DEPARTMENTS,
-    EDUCATION,
-    LOCATIONS,
-    NICHE_LOCATIONS,
-    NULL_KEY_SENTINEL,
-    SENIORITY,
-    SOURCES,
-    STAGES,
-)
-from hirelens.sources.tpch_binding import FEEDBACK, SEGMENTS
+# Fixed values of the data contract, stated here on their own.
+SOURCES = ("referral", "job_board", "linkedin", "university", "agency")
+SENIORITY = ("junior", "mid", "senior", "staff", "principal")
+STAGES = ("applied", "screen", "phone_interview", "onsite", "final")
+NICHE_LOCATIONS = ("boise", "reno", "berlin")
+SENIOR_LEVELS = ("senior", "staff", "principal")
+NULL_KEY_SENTINEL = "_dbt_utils_surrogate_key_null_"
+
+# Fixed values of the stand-in data.
+EDUCATION = ("none", "school", "apprenticeship", "degree", "doctorate")
+DEPARTMENTS = ("design", "legal", "logistics", "people", "product", "research", "security")
+LOCATIONS = ("lisbon", "oslo", "boise", "toronto", "reno", "nairobi", "berlin", "osaka")
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+FEEDBACK = ("Not a fit", "Some gaps", "Acceptable", "Good", "Excellent")
 
 
 def array(values) -> str:

@@ -4,9 +4,6 @@ from __future__ import annotations
 
 import re
 
-from hirelens.domain import NICHE_LOCATIONS, SENIOR_LEVELS, SENIORITY
-from hirelens.scoring.recommend import ADVICE
-
 from .checks import (
     DECLARED,
     EXPECTED,
@@ -21,8 +18,8 @@ from .checks import (
     relation,
     soiled_relation,
 )
-from .relations import NICHE, RELATIONS as CLEAN_RELATIONS
-from .relations import half_up, in_list
+from .relations import NICHE, NICHE_LOCATIONS, SENIOR_LEVELS, SENIORITY, half_up, in_list
+from .relations import RELATIONS as CLEAN_RELATIONS
 
 RELATIONS = {**CLEAN_RELATIONS, **{f"soiled_{name}": soiled_relation(name) for name in SOILED}}
 _NAME = re.compile(rf"(?:FROM|JOIN)\s+({'|'.join(RELATIONS)})\b")
@@ -103,6 +100,19 @@ def fixed_score(id_column: str, prefix: int) -> str:
     return f"(CAST(substr({id_column}, {prefix + 1}) AS BIGINT) * 7919 % 10000) / 10000.0"
 
 
+ADVICE = {
+    "fill_low": "No action: this role is on pace.",
+    "fill_niche": "Search a wider area, allow remote work, or relax the fill target.",
+    "fill_other": "Check sourcing channels and tighten interview scheduling.",
+    "dropout_low": "No action: the candidate is engaged.",
+    "dropout_stalled": "Follow up now or bring the next step forward.",
+    "dropout_other": "Check in and agree on a timeline.",
+    "offer_low": "No action: acceptance is likely.",
+    "offer_below_band": "Raise the offer or stress equity, growth and flexibility.",
+    "offer_other": "Close in person and stress what matters to the candidate.",
+}
+
+
 def advice(case: str) -> str:
     return "'" + ADVICE[case].replace("'", "''") + "'"
 
