@@ -6,6 +6,7 @@ from collections.abc import Callable, Collection
 
 from pyspark.sql import SparkSession
 
+from .domain import CONTRACT_VOCABULARY, Vocabulary
 from .ml.spec import MODELS
 from .ml.train import TrainConfig, TrainedModel, load_models, save, save_report, train
 from .plans.warehouse import FEATURE_MART, build, open_warehouse
@@ -29,7 +30,7 @@ def models_folder(tables: Tables, models_root: str | None = None) -> str:
 def run(
     spark: SparkSession, src: str, tables: Tables, config: TrainConfig = DEFAULT, strict: bool = True,
     force: bool = False, multi_line: Collection[str] = FREE_TEXT, models_root: str | None = None,
-    progress: Callable[[str], None] = lambda step: None,
+    progress: Callable[[str], None] = lambda step: None, vocabulary: Vocabulary = CONTRACT_VOCABULARY,
 ) -> list[str]:
     """Build, train the three models and store them with their reports; the steps that had to be run.
 
@@ -43,7 +44,7 @@ def run(
         ran.append(step)
         progress(step)
 
-    if build(spark, src, tables, strict, force, multi_line) is not None:
+    if build(spark, src, tables, strict, force, multi_line, vocabulary=vocabulary) is not None:
         note("build")
     house, ledger = open_warehouse(spark, tables), tables.ledger
     current = house.tables

@@ -158,7 +158,8 @@ def train(features: DataFrame, spec: ModelSpec, config: TrainConfig | None = Non
 def sample_predictions(model: TrainedModel, test: DataFrame, n: int = 4) -> DataFrame:
     """The first ``n`` test rows by id: their features, score, and what was predicted and came true by name."""
     spec = model.spec
-    first = model.score(test.orderBy(spec.id).limit(n))
+    # stored first: a projection over the limit would turn the top n into a sort of all rows
+    first = model.score(cut_lineage(test.orderBy(spec.id).limit(n)))
     predicted, actual = (F.when(hit, spec.classes[1]).otherwise(spec.classes[0]) for hit in (F.col("score") >= 0.5, F.col("label") == 1.0))
     return first.select(spec.id, *spec.features, "label", "score", predicted.alias("predicted"), actual.alias("actual"))
 

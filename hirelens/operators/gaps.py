@@ -40,9 +40,14 @@ def round_gaps(
     return rows.join(slots, same_slot, "inner").select("rows.*", gap.alias(out))
 
 
-def max_round_gap(df: DataFrame, key: str, order: str, date: str, out: str) -> DataFrame:
-    """One row per ``key``: the longest gap of ``round_gaps``, without the row-level join."""
-    slots = df.groupBy(key, order, date).agg(F.count(F.lit(1)).alias("_rows"))
+def max_round_gap(
+    df: DataFrame, key: str, order: str, date: str, out: str, rows: str | None = None
+) -> DataFrame:
+    """One row per ``key``: the longest gap of ``round_gaps``, without the row-level join.
+
+    ``rows`` says how many rows each row of ``df`` stands for, one by default.
+    """
+    slots = df.groupBy(key, order, date).agg((F.sum(rows) if rows else F.count(F.lit(1))).alias("_rows"))
     inside = F.when((F.col("_rows") > 1) & F.col(date).isNotNull(), F.lit(0))
     return (
         slots.withColumn("_gap", _gap_to_previous_slot(key, order, date))

@@ -14,31 +14,56 @@ from pyspark.sql import functions as F
 
 from ..domain import STAGES
 from ..functions import date_key, exact_avg, surrogate_key
+from ..operators import max_round_gap
 
 
-def interview_rollup(interviews: DataFrame) -> DataFrame:
-    """Interviews per application. Unfinished interviews count.
+def interview_visits(interviews: DataFrame) -> DataFrame:
+    """(application, round, date, interviewer) with counts and score sums: the only scan of the interviews."""
+    score = F.col("feedback_score").cast("long")
+    return interviews.groupBy("application_id", "interview_round", "scheduled_date", "interviewer_id").agg(
+        F.count(F.lit(1)).alias("visits"),
+        F.sum(score).alias("score_sum"),
+        F.count(score).alias("scores"),
+        F.min("feedback_score").alias("least_score"),
+    )
+
+
+def interview_rollup(visits: DataFrame) -> DataFrame:
+    """All that both marts need of an application's interviews, from ``interview_visits``; unfinished ones count.
 
-    With one distinct aggregate Spark first groups by (application, interviewer),
-    so a hot application is spread over its interviewers.
+    Sums go by (application, interviewer) first and gaps by (application, round, date), so a hot
+    application is spread before anything gathers it.
     """
-    return interviews.groupBy("application_id").agg(
-        F.count(F.lit(1)).alias("interview_count"),
-        F.max("interview_round").alias("max_interview_round"),
-        exact_avg("feedback_score", 3).alias("avg_feedback_score"),
-        F.min("feedback_score").alias("min_feedback_score"),
-        F.countDistinct("interviewer_id").alias("distinct_interviewers"),
+    people = visits.groupBy("application_id", "interviewer_id").agg(
+        F.sum("visits").alias("visits"),
+        F.max("interview_round").alias("last_round"),
+        F.sum("score_sum").alias("score_sum"),
+        F.sum("scores").alias("scores"),
+        F.min("least_score").alias("least_score"),
+    )
+    mean = F.try_divide(F.sum("score_sum").cast("decimal(20,0)"), F.sum("scores").cast("decimal(20,0)"))
+    totals = people.groupBy("application_id").agg(
+        F.sum("visits").alias("interview_count"),
+        F.max("last_round").alias("max_interview_round"),
+        F.round(mean, 3).alias("avg_feedback_score"),
+        F.min("least_score").alias("min_feedback_score"),
+        F.count("interviewer_id").alias("distinct_interviewers"),
+    )
+    gaps = max_round_gap(
+        visits, "application_id", "interview_round", "scheduled_date", "max_gap_between_rounds_days", rows="visits"
     )
+    return totals.join(gaps, "application_id")
 
 
 def _or_zero(name: str):
     return F.coalesce(F.col(name), F.lit(0).cast("long")).alias(name)
 
 
-def fact_applications(funnel: DataFrame, reqs: DataFrame, interviews: DataFrame, pace: DataFrame) -> DataFrame:
+def fact_applications(funnel: DataFrame, reqs: DataFrame, rollup: DataFrame, pace: DataFrame) -> DataFrame:
+    """Applications with their stages, interviews (``interview_rollup``) and fill."""
     fill = pace.select("application_id", "actual_time_to_fill_days", "days_over_target", "missed_target")
     return (
-        funnel.join(interview_rollup(interviews), "application_id", "left")
+        funnel.join(rollup.drop("max_gap_between_rounds_days"), "application_id", "left")
         .join(fill, "application_id", "left")
         .join(reqs.select("req_id", "recruiter_id"), "req_id", "left")
         .select(

@@ -6,28 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..domain import NICHE_LOCATIONS, STAGES
-from ..operators import attach_open_load, max_round_gap, open_load_curve
+from ..operators import attach_open_load, open_load_curve
 from .dims import is_niche
-from .facts import interview_rollup
 
 LOAD = "recruiter_concurrent_open_reqs"
 
 
-def interview_features(interviews: DataFrame) -> DataFrame:
-    """Interview rollup plus the longest gap between rounds, both keyed alike."""
-    gaps = max_round_gap(
-        interviews, "application_id", "interview_round", "scheduled_date", "max_gap_between_rounds_days"
-    )
-    return interview_rollup(interviews).join(gaps, "application_id").select(
-        "application_id",
-        F.col("interview_count").alias("interview_rounds_completed"),
-        "avg_feedback_score",
-        "min_feedback_score",
-        F.col("distinct_interviewers").alias("interviewer_count"),
-        "max_gap_between_rounds_days",
-    )
-
-
 def load_curve(windows: DataFrame, apps: DataFrame) -> DataFrame:
     """Open requisitions per (recruiter, day) at every day someone applied to them.
 
@@ -51,7 +35,8 @@ def ml_features(
     funnel: DataFrame,
     applicants: DataFrame,
     windows: DataFrame,
-    interviews: DataFrame,
+    rollup: DataFrame,
+    curve: DataFrame,
     outcomes: DataFrame,
     pace: DataFrame,
     niche: tuple[str, ...] = NICHE_LOCATIONS,
@@ -60,13 +45,22 @@ def ml_features(
 
     All inputs keyed by application join on one partitioning; then the row
     moves once per lookup: requisition, (recruiter, day), applicant. ``windows``
-    holds requisitions with their first fill date.
+    holds requisitions with their first fill date, ``rollup`` and ``curve`` are
+    ``interview_rollup`` and ``load_curve``, which other plans read too.
     """
+    visited = rollup.select(
+        "application_id",
+        F.col("interview_count").alias("interview_rounds_completed"),
+        "avg_feedback_score",
+        "min_feedback_score",
+        F.col("distinct_interviewers").alias("interviewer_count"),
+        "max_gap_between_rounds_days",
+    )
     offered = outcomes.select(
         "application_id", "offer_id", "decision", "offer_to_band_ratio", "days_to_respond"
     )
     by_application = (
-        funnel.join(interview_features(interviews), "application_id", "left")
+        funnel.join(visited, "application_id", "left")
         .join(offered, "application_id", "left")
         .join(pace.select("application_id", "missed_target"), "application_id", "left")
     )
@@ -74,9 +68,7 @@ def ml_features(
         "req_id", "recruiter_id", "department", "seniority_level", "location", "opened_date", "filled_date"
     )
     located = by_application.join(role, "req_id", "left")
-    loaded = attach_open_load(
-        located, load_curve(windows, funnel), "recruiter_id", "opened_date", "filled_date", "applied_date", LOAD
-    )
+    loaded = attach_open_load(located, curve, "recruiter_id", "opened_date", "filled_date", "applied_date", LOAD)
     candidate = applicants.select("applicant_id", "source", "is_referral", "resume_years_experience")
     has_offer = F.col("offer_id").isNotNull()
     return loaded.join(candidate, "applicant_id", "left").select(

@@ -12,6 +12,7 @@ from .checks import (
     row_count,
     run_suite,
     unique,
+    with_values,
 )
 from .gate import QualityGateError, gate, summarise
 from .suites import FEATURE_CHECKS, MART_CHECKS, MART_EXPECTATIONS, OWN_CHECKS, STAGING_CHECKS
@@ -36,4 +37,5 @@ __all__ = [
     "run_suite",
     "summarise",
     "unique",
+    "with_values",
 ]

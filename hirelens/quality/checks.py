@@ -13,7 +13,7 @@ Null rule: every check but ``not_null`` passes over nulls.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -111,6 +111,13 @@ def relationship(table: str, column: str, parent: str, parent_column: str) -> Ch
     return Check(table, "relationship", column, parent=(parent, parent_column))
 
 
+def with_values(checks: Sequence[Check], values: Mapping[str, Sequence]) -> list[Check]:
+    """``checks`` with the accepted values of columns in ``values`` replaced."""
+    return [
+        replace(c, values=tuple(values[c.column])) if c.kind == "accepted_values" and c.column in values else c for c in checks
+    ]
+
+
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Keys of ``child`` that ``parent`` lacks, with the rows that carry each."""
     keys = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hirelens import job
+from hirelens.domain import Vocabulary
 from hirelens.ml.spec import MODELS
 from hirelens.ml.train import TrainConfig
 from hirelens.plans import warehouse as plans
@@ -62,7 +63,7 @@ def test_an_interrupted_build_is_not_seen_and_resumes(spark, tmp_path, monkeypat
     stop_at(plans.FEATURE_MART)
     with pytest.raises(KeyboardInterrupt):
         build(spark, src, tables)
-    assert len(stored) == 10 and not tables.is_built()
+    assert len(stored) == 13 and not tables.is_built()
     with pytest.raises(LookupError):
         open_warehouse(spark, tables)
     stored.clear()
@@ -197,3 +198,23 @@ def test_a_killed_run_trains_only_what_is_missing(spark, tmp_path, monkeypatch):
     assert report.filter("section = 'selected'").count() == 1
     write_inputs(tmp_path / "in", **{**rows, "interviews": rows["interviews"][1:]})
     assert job.run(spark, src, tables, config) == ["build", *[f"train {n}" for n in names]]
+
+
+def test_a_build_takes_its_own_vocabulary_and_dates(spark, tmp_path):
+    def later(rows):
+        return [tuple(v.replace(year=2031) if isinstance(v, date) else v for v in r) for r in rows]
+
+    from .rows import ROWS
+
+    own = {t: later(r) for t, r in {**ROWS, **CLEAN}.items()}
+    own["applicants"] = [(*r[:1], "radio", *r[2:]) for r in own["applicants"]]
+    src, tables = write_inputs(tmp_path / "in", **own), Tables(spark, str(tmp_path / "out"))
+    with pytest.raises(QualityGateError, match="source accepted_values"):
+        build(spark, src, tables)
+    vocabulary = Vocabulary(sources=("radio",), niche_locations=("remote",), first_day="2030-01-01", end_day="2033-01-01")
+    assert build(spark, src, tables, vocabulary=vocabulary) is not None
+    house = open_warehouse(spark, tables)
+    days = house.table("dim_date").agg(F.min("date_day"), F.max("date_day")).first()
+    assert tuple(map(str, days)) == ("2030-01-01", "2032-12-31")
+    niche = {r["location"] for r in house.table("dim_requisition").filter("is_niche_location").collect()}
+    assert niche == {"remote"}

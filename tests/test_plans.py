@@ -103,3 +103,17 @@ def test_hot_join_key_is_split_at_run_time(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_the_feature_mart_moves_rows_at_most_twelve_times(unbroadcast):
+    plan = physical(QUERIES["ml_features"](unbroadcast, SF))
+    assert plan.count("Exchange hashpartitioning") <= 12
+    assert len(re.findall(r"FileScan parquet", plan)) <= 8
+
+
+def test_interviews_are_scanned_once_for_both_marts(unbroadcast):
+    house = entry._house(unbroadcast, SF)
+    names = ("int_interview_visits", "int_interview_rollup", "fact_applications", "mart_ml_features")
+    reads = {name: any("/raw/interviews/" in f for f in house.plan(name).inputFiles()) for name in names}
+    assert reads == {name: name == "int_interview_visits" for name in names}
+    assert physical(house.plan("int_interview_visits")).count("FileScan") == 1
