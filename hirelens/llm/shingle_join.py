@@ -30,6 +30,7 @@ NUMERATOR, DENOMINATOR = 75, 100  # Jaccard of at least 75 / 100
 COUNT_BITS = 20
 MEMBER_BITS = 20
 BLOCK = 2000
+SMALL = 24  # buckets of up to so many rows are paired together
 PICKS = 8
 BRIEF_BYTES = 32  # of a bitmap that travels with a bucket's row
 STEPS = 64  # in which a pair's distance is told apart
@@ -203,7 +204,12 @@ def _apart(index: DataFrame, nodes: DataFrame, reach: DataFrame, marks: DataFram
             )
             token, bits = table.column("token").to_numpy(), table.column("bits").combine_chunks()
             out, held = [], 0
-            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            small = np.diff(bounds) <= SMALL
+            found = _small_pairs(bounds, small, few > 0, bits, *(x.astype(np.int64) for x in (lo, hi, part, size, grp, rest, low, high, token)))
+            if found.shape[1]:
+                out.append(found)
+                held = found.shape[1]
+            for a, b in zip(bounds[:-1][~small].tolist(), bounds[1:][~small].tolist()):
                 for top in range(a, b - 1, 256):
                     i, j = slice(top, min(top + 256, b)), slice(top, b)
                     x, y = size[i][:, None], size[j][None, :]
@@ -258,6 +264,37 @@ def _apart(index: DataFrame, nodes: DataFrame, reach: DataFrame, marks: DataFram
     return across.select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(inside).distinct()
 
 
+def _small_pairs(
+    bounds: np.ndarray, small: np.ndarray, few: bool, bits: pa.Array, lo: np.ndarray, hi: np.ndarray, part: np.ndarray,
+    size: np.ndarray, grp: np.ndarray, rest: np.ndarray, low: np.ndarray, high: np.ndarray, token: np.ndarray,
+) -> np.ndarray:
+    """(a, b, low, high, gap) of the pairs in all buckets of at most ``SMALL`` rows, made at once.
+
+    With ``few`` only the closest pair of each component in each bucket.
+    """
+    ends = np.repeat(bounds[1:], np.diff(bounds))
+    rows = np.flatnonzero(np.repeat(small, np.diff(bounds)))
+    later = ends[rows] - 1 - rows
+    total = np.cumsum(later)
+    u = np.repeat(rows, later)
+    v = u + 1 + np.arange(len(u)) - np.repeat(total - later, later)
+    fits = (NUMERATOR * size[v] <= DENOMINATOR * size[u]) & _enough(np.minimum(rest[u], rest[v]), size[u] + size[v])
+    fits &= (low[u] != low[v]) | (high[u] != high[v]) | (low[u] != high[v])
+    fits &= (lo[u] == hi[u]) | (part[u] != part[v])
+    u, v = u[fits], v[fits]
+    gap = _gaps(bits, size, u, v)
+    u, v, gap = u[gap >= 0], v[gap >= 0], gap[gap >= 0]
+    found = np.stack([grp[u], grp[v], np.minimum(low[u], low[v]), np.maximum(high[u], high[v]), gap])
+    if not few or not len(u):
+        return found
+    chance = mixed((found[0] * 31 + found[1] + token[u]).view(np.uint64))
+    bucket, component, pair = np.tile(ends[u], 2), found[2:4].ravel(), np.tile(np.arange(len(u)), 2)
+    order = np.lexsort((np.tile(chance, 2), np.tile(gap, 2), component, bucket))
+    first = np.ones(len(order), bool)
+    first[1:] = (bucket[order][1:] != bucket[order][:-1]) | (component[order][1:] != component[order][:-1])
+    return found[:, np.unique(pair[order][first])]
+
+
 def _sets_of(rows: DataFrame, ids: DataFrame, n: int) -> DataFrame:
     """(id, shingles) of the documents asked for, written once.
 
