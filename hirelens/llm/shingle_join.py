@@ -30,7 +30,9 @@ NUMERATOR, DENOMINATOR = 75, 100  # Jaccard of at least 75 / 100
 COUNT_BITS = 20
 MEMBER_BITS = 20
 BLOCK = 2000
-SMALL = 24  # buckets of up to so many rows are paired together
+SMALL = 24  # buckets of up to so many rows are paired together,
+SMALL_AT_ONCE = 500  # as many buckets at once
+STRIP = 96  # rows of a larger bucket that are paired with all others at once
 PICKS = 8
 BRIEF_BYTES = 32  # of a bitmap that travels with a bucket's row
 STEPS = 64  # in which a pair's distance is told apart
@@ -205,13 +207,16 @@ def _apart(index: DataFrame, nodes: DataFrame, reach: DataFrame, marks: DataFram
             token, bits = table.column("token").to_numpy(), table.column("bits").combine_chunks()
             out, held = [], 0
             small = np.diff(bounds) <= SMALL
-            found = _small_pairs(bounds, small, few > 0, bits, *(x.astype(np.int64) for x in (lo, hi, part, size, grp, rest, low, high, token)))
-            if found.shape[1]:
-                out.append(found)
-                held = found.shape[1]
+            values = [x.astype(np.int64) for x in (lo, hi, part, size, grp, rest, low, high, token)]
+            for first in range(0, len(small), SMALL_AT_ONCE):
+                some = slice(first, first + SMALL_AT_ONCE)
+                found = _small_pairs(bounds[first : first + SMALL_AT_ONCE + 1], small[some], few > 0, bits, *values)
+                if found.shape[1]:
+                    out.append(found)
+                    held += found.shape[1]
             for a, b in zip(bounds[:-1][~small].tolist(), bounds[1:][~small].tolist()):
-                for top in range(a, b - 1, 256):
-                    i, j = slice(top, min(top + 256, b)), slice(top, b)
+                for top in range(a, b - 1, STRIP):
+                    i, j = slice(top, min(top + STRIP, b)), slice(top, b)
                     x, y = size[i][:, None], size[j][None, :]
                     fits = (NUMERATOR * y <= DENOMINATOR * x) & _enough(np.minimum(rest[i][:, None], rest[j][None, :]), x + y)
                     fits &= (low[i][:, None] != low[j][None, :]) | (high[i][:, None] != high[j][None, :]) | (low[i][:, None] != high[j][None, :])
@@ -272,23 +277,25 @@ def _small_pairs(
 
     With ``few`` only the closest pair of each component in each bucket.
     """
-    ends = np.repeat(bounds[1:], np.diff(bounds))
-    rows = np.flatnonzero(np.repeat(small, np.diff(bounds)))
-    later = ends[rows] - 1 - rows
+    sizes = np.diff(bounds)[small]
+    stops = np.repeat(bounds[1:][small], sizes)
+    rows = stops - 1 - (np.repeat(np.cumsum(sizes), sizes) - 1 - np.arange(len(stops)))
+    later = stops - 1 - rows
     total = np.cumsum(later)
     u = np.repeat(rows, later)
     v = u + 1 + np.arange(len(u)) - np.repeat(total - later, later)
+    stop = np.repeat(stops, later)
     fits = (NUMERATOR * size[v] <= DENOMINATOR * size[u]) & _enough(np.minimum(rest[u], rest[v]), size[u] + size[v])
     fits &= (low[u] != low[v]) | (high[u] != high[v]) | (low[u] != high[v])
     fits &= (lo[u] == hi[u]) | (part[u] != part[v])
-    u, v = u[fits], v[fits]
+    u, v, stop = u[fits], v[fits], stop[fits]
     gap = _gaps(bits, size, u, v)
-    u, v, gap = u[gap >= 0], v[gap >= 0], gap[gap >= 0]
+    u, v, stop, gap = u[gap >= 0], v[gap >= 0], stop[gap >= 0], gap[gap >= 0]
     found = np.stack([grp[u], grp[v], np.minimum(low[u], low[v]), np.maximum(high[u], high[v]), gap])
     if not few or not len(u):
         return found
     chance = mixed((found[0] * 31 + found[1] + token[u]).view(np.uint64))
-    bucket, component, pair = np.tile(ends[u], 2), found[2:4].ravel(), np.tile(np.arange(len(u)), 2)
+    bucket, component, pair = np.tile(stop, 2), found[2:4].ravel(), np.tile(np.arange(len(u)), 2)
     order = np.lexsort((np.tile(chance, 2), np.tile(gap, 2), component, bucket))
     first = np.ones(len(order), bool)
     first[1:] = (bucket[order][1:] != bucket[order][:-1]) | (component[order][1:] != component[order][:-1])
