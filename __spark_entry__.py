@@ -68,7 +68,9 @@ from oracle import oracle_sql as _oracle_sql
 try:  # the training-data operators may be left out of an installation
     import corpus_pipeline
     from hirelens.llm import queries as _llm
-except ImportError:
+except ImportError as error:
+    if error.name not in ("corpus_pipeline", "hirelens.llm"):
+        raise
     _llm = None
 
 Query = Callable[[SparkSession, str], DataFrame]
