@@ -208,3 +208,42 @@ def test_stored_tree_models_read_back(spark, tmp_path):
     save(model, str(tmp_path))
     assert load(spark, str(tmp_path), OFFER_DECLINE.name) == model
     assert Trees(FEATURES, 0.5, ()).rounds == 0 and margin_sql(0.5, []) == "0.5e0"
+
+
+def test_margins_are_not_written_tree_by_tree(spark, monkeypatch):
+    stored, cut = [], boosting.cut_lineage
+    monkeypatch.setattr(boosting, "cut_lineage", lambda df: stored.append(cut(df)) or stored[-1])
+    trees = fit_trees(binned(frame_of(spark, planted_rows(400, 0.0)), FEATURES), FEATURES, 2 * boosting.CUT_EVERY + 1, depth=1, min_rows=5)
+    assert trees.rounds == 2 * boosting.CUT_EVERY + 1 and len(stored) == 1
+
+
+def test_many_trees_are_walked_in_blocks_as_their_text_says(spark):
+    rng = random.Random(9)
+    leaf = (None, None, None, None)
+    inner = [("offer_to_band_ratio", math.inf, None, False), ("candidate_source", None, "it's", False), ("candidate_source", None, "agency", False)]
+    inner += [("resume_years_experience", t, None, m) for t in (0.0, 2.5, 7.0) for m in (True, False)] + [("referral_flag", 0.5, None, False)]
+    rows = []
+    for t in range(30):
+        if t % 7 == 0:
+            rows.append((t, 0, *leaf, rng.gauss(0, 1)))
+            continue
+        rows += [(t, n, *rng.choice(inner), None) for n in (0, 1, 2, 5)]
+        rows += [(t, n, *leaf, rng.gauss(0, 1)) for n in (3, 4, 6, 11, 12)]
+    model = TrainedModel(OFFER_DECLINE, TREES, tuple(rows), -0.3)
+    odd = [
+        (ratio, years, source, flag)
+        for ratio in (None, math.nan, 1.0, math.inf, -math.inf)
+        for years in (None, math.nan, -0.0, 2.5, 2.6, 8.0)
+        for source in (None, "it's", "agency", "new")
+        for flag in (None, True, False)
+    ]
+    df = spark.createDataFrame(odd, "offer_to_band_ratio double, resume_years_experience double, candidate_source string, referral_flag boolean")
+    df = df.withColumns({c: F.lit("x") for c in ("department", "seniority_level", "location")} | {"is_niche_location": F.lit(True)}).repartition(3)
+    text = OFFER_DECLINE.inputs(df, F.struct(*df.columns).alias("_row")).select("_row.*", (1 / (1 + F.exp(-F.expr(model.margin_sql())))).alias("score"))
+    key = lambda r: str(tuple(r))
+    scored = model.score(df)
+    assert sorted(map(key, scored.collect())) == sorted(map(key, text.collect()))
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN" not in plan and len(plan) < 10_000  # three hundred trees as text don't compile
+    bare = TrainedModel(OFFER_DECLINE, TREES, (), 0.0), TrainedModel(OFFER_DECLINE, TREES, ((0, 0, *leaf, 0.0),), 0.0)
+    assert all(r["score"] == 0.5 for m in bare for r in m.score(df).collect())
