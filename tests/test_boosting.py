@@ -247,3 +247,26 @@ def test_many_trees_are_walked_in_blocks_as_their_text_says(spark):
     assert "CASE WHEN" not in plan and len(plan) < 10_000  # three hundred trees as text don't compile
     bare = TrainedModel(OFFER_DECLINE, TREES, (), 0.0), TrainedModel(OFFER_DECLINE, TREES, ((0, 0, *leaf, 0.0),), 0.0)
     assert all(r["score"] == 0.5 for m in bare for r in m.score(df).collect())
+
+
+def test_a_level_reads_four_columns_in_a_plan_that_is_made_once(spark, monkeypatch):
+    moved, margins = [], boosting._margins
+    read, sums = [], boosting.blocks.sums
+
+    def watched(*args):
+        run = sums(*args)
+
+        def checked(batches):
+            for batch in batches:
+                if batch.schema.names != ["held", "bins", "g", "h"]:
+                    raise AssertionError(batch.schema.names)
+                yield from run(iter([batch]))
+
+        read.append(args)
+        return checked
+
+    monkeypatch.setattr(boosting, "_margins", lambda *args: moved.append(margins(*args)) or moved[-1])
+    monkeypatch.setattr(boosting.blocks, "sums", watched)
+    fit_trees(binned(frame_of(spark, planted_rows(200, 0.0)), FEATURES), FEATURES, 1, depth=1, min_rows=5)
+    assert read and {f.sparkSession.conf.get("spark.sql.adaptive.enabled") for f in moved} == {"false"}
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
