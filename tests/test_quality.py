@@ -164,3 +164,31 @@ def test_date_outside_the_calendar_is_an_orphan(spark):
     frames = warehouse(spark, applications=late).marts()
     checks = [c for c in MART_EXPECTATIONS if c.table == "fact_applications" and c.kind == "relationship"]
     assert ("fact_applications", "relationship", "applied_date_key") in red(frames, checks)
+
+
+def test_soiled_tables_and_csv_land_only_what_they_name(spark, tmp_path):
+    import __spark_entry__ as registered
+    from hirelens.plans.warehouse import Warehouse
+    from hirelens.sources import Frames, Tables
+
+    from .rows import warehouse
+
+    whole, landed = warehouse(spark), []
+
+    def land(name):
+        landed.append(name)
+        return whole.raw[name]
+
+    house = Warehouse(spark, Frames(tuple(whole.raw), land), Tables(spark, str(tmp_path)))
+    assert registered._soiled(house)["stg_offers"].count() >= 0 and landed == ["offers"] and not house.stored
+    assert set(registered._soiled(house)["dim_applicant"].columns) and set(house.stored) == {"dim_applicant"}
+
+    landed.clear()
+    again = Warehouse(spark, Frames(tuple(whole.raw), land), Tables(spark, str(tmp_path)))
+    monkey = registered._house
+    registered._house = lambda *args, **kw: again
+    try:
+        got = registered.queries()["csv_round_trip_interviews"](spark, "")
+    finally:
+        registered._house = monkey
+    assert landed == ["interviews"] and got.count() == whole.raw["interviews"].count()
