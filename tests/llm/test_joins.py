@@ -310,3 +310,22 @@ def test_stages_take_odd_rows(spark, docs_of, empty_docs, stage):
     odd = docs_of([(1, None), (2, ""), (None, "the and of"), (3, "the and of " * 20_000), (3, "the and of " * 20_000)])
     assert run(spark, odd, "/root/testdata/sf0.001").count() <= 5
     assert run(spark, empty_docs, "/root/testdata/sf0.001").count() == 0
+
+
+def test_batches_stay_small_and_the_setting_comes_back(spark):
+    from hirelens.llm import common
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, most = spark.conf.get(name), common.BATCH_BYTES
+    wide = spark.range(0, 3000, 1, 1).select(F.encode(F.repeat(F.lit("x"), 4000), "utf-8").alias("b"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.get_total_buffer_size()]})
+
+    with common.small_batches(spark):
+        found = [r["n"] for r in wide.mapInArrow(sizes, "n long").collect()]
+    assert len(found) > 2 and max(found) < 2 * most and spark.conf.get(name) == before
+    with pytest.raises(RuntimeError), common.small_batches(spark):
+        raise RuntimeError
+    assert spark.conf.get(name) == before
