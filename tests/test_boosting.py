@@ -270,3 +270,12 @@ def test_a_level_reads_four_columns_in_a_plan_that_is_made_once(spark, monkeypat
     fit_trees(binned(frame_of(spark, planted_rows(200, 0.0)), FEATURES), FEATURES, 1, depth=1, min_rows=5)
     assert read and {f.sparkSession.conf.get("spark.sql.adaptive.enabled") for f in moved} == {"false"}
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+def test_blocks_are_read_from_a_folder_whose_name_holds_a_space(spark, tmp_path, monkeypatch):
+    from hirelens import session
+
+    data = binned(frame_of(spark, planted_rows(200, 0.0)), FEATURES)
+    plain = fit_trees(data, FEATURES, 1, depth=1, min_rows=5)
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path / "a b%20c"))
+    assert fit_trees(data, FEATURES, 1, depth=1, min_rows=5) == plain
