@@ -89,3 +89,21 @@ def test_the_widest_lookup_of_the_feature_mart_comes_last(spark, driver):
     moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(applicant_id" in line or "Exchange hashpartitioning(req_id" in line]
     assert len(moved) == 4
     assert plan.index("hashpartitioning(req_id") < plan.index("hashpartitioning(applicant_id")  # the top of a plan is its end
+
+
+@pytest.mark.parametrize("dirty", [False, True])
+def test_lines_move_once_for_all_tables_that_start_from_them(spark, driver, tmp_path, dirty):
+    kept = []
+    tables = Tables(spark, str(tmp_path), buckets=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        binding = Binding(
+            spark, driver, dirty,
+            keep_lines=lambda df: kept.append(df) or tables.write(df, "raw", "lines", ("application_id",)),
+        )
+        for name in ("stage_history", "interviews"):
+            assert moves(binding.contract()[name]) == 0, name
+        assert "lineitem" not in physical(binding.contract()["applications"])
+        assert len(kept) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
